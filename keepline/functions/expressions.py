@@ -40,7 +40,8 @@ def count_edges(x, edges, most: int, inclusive: bool = True) -> Column:
     """How many of the ascending ``edges`` (an array column with at most ``most`` entries)
     are ``<= x`` (or ``< x``). Binary search, so cost grows with log(most)."""
     x, edges = as_col(x), as_col(edges)
-    steps = F.array(*[F.lit(1 << i) for i in range(max(most, 1).bit_length() - 1, -1, -1)])
+    powers = range(max(most, 1).bit_length() - 1, -1, -1)
+    steps = F.expr("array(" + ", ".join(str(1 << i) for i in powers) + ")")
 
     def step(pos, s):
         edge = F.get(edges, pos + s - 1)
@@ -67,7 +68,8 @@ def left_closed_bin(x, edges, most: int) -> Column:
 
 
 def literal_edges(edges) -> Column:
-    return F.array(*[F.lit(float(e)) for e in edges])
+    """Array literal of doubles."""
+    return F.expr("array(" + ", ".join(f"{float(e)!r}D" for e in edges) + ")")
 
 
 def seeded_hash(seed, *parts) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .expressions import count_edges
+from .expressions import count_edges, literal_edges
 
 SLOTS = 1024
 
@@ -82,7 +82,7 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n")))
     ranked = running_sums(counts, keys, "_v", ["n"])
     wanted = F.transform(
-        F.array(*[F.lit(float(p)) for p in probs]),
+        literal_edges(probs),
         lambda p: F.struct(
             p.alias("p"),
             F.floor(p * (F.col("total_n") - 1)).alias("lo"),
@@ -107,7 +107,8 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs) -> DataFrame:
 
 def long_format(df: DataFrame, columns, by=(), name="feature", value="value") -> DataFrame:
     """``by..., feature, value`` with one row per column and input row (doubles)."""
-    return df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    return df.selectExpr(*[f"`{c}`" for c in by],
+                         *[f"cast(`{c}` as double) as `{c}`" for c in columns]).unpivot(
         list(by), list(columns), name, value)
 
 

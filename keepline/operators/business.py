@@ -68,16 +68,17 @@ def sweep_thresholds(df: DataFrame, by=(), scenario: Scenario = Scenario(), thre
     grid = threshold_grid() if thresholds is None else sorted(float(t) for t in thresholds)
     if not grid:
         raise ValueError("no thresholds")
-    cell = count_edges(F.col(p).cast("double"), literal_edges(grid), len(grid))
+    steps = literal_edges(grid)
+    cell = count_edges(F.col(p).cast("double"), steps, len(grid))
     cells = df.where(F.col(p).isNotNull()).groupBy(*by, cell.alias("cell")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
     # a cell that holds no score still needs its threshold: spread each group over the grid
-    steps = F.array(*[F.struct(F.lit(i + 1).alias("cell"), F.lit(t).alias("threshold"))
-                      for i, t in enumerate(grid)])
     group = cells.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct("cell", F.struct("pos", "neg")))).alias("c"),
         F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    spread = group.select(*by, "c", "all_pos", "all_neg", F.inline(steps))
+    spread = group.select(*by, "c", "all_pos", "all_neg",
+                          F.posexplode(steps).alias("position", "threshold")).withColumn(
+        "cell", F.col("position") + 1)
     filled = spread.select(
         *by, "cell", "threshold", "all_pos", "all_neg",
         *[F.coalesce(F.try_element_at("c", F.col("cell")).getField(m), F.lit(0)).alias(m)

@@ -26,6 +26,7 @@ from ..constants import (
     PRIMARY_METRIC, SEED, TARGET_COL,
 )
 from ..functions.expressions import hash_unit
+from ..session import materialize
 from .cleaning import preprocess
 from .encoding import KBestSelector, build_preprocessor, drop_constant
 from .features import TelcoFeatures
@@ -38,12 +39,17 @@ LABEL = "label"
 
 def training_table(raw: DataFrame, n_folds: int = N_FOLDS, seed: int = SEED,
                    key: str = KEY_COL, target: str = TARGET_COL) -> DataFrame:
-    """Cleaned features with ``label``, ``fold`` and the two weight columns."""
+    """Cleaned features with ``label``, ``fold`` and the two weight columns.
+
+    The cleaned rows are written once: ranking, weights and every fit read them again.
+    """
     clean = preprocess(raw)
     # an imputed target between the classes counts as the nearer one
     y = clean.withColumn(LABEL, F.round(F.col(target)).cast("double")).select(
         key, *[c for c in FEATURE_COLS if c in clean.columns], LABEL)
-    return add_weights(stratified_kfold(y, key, LABEL, n_folds, seed))
+    rows = materialize(y, "clean")
+    return materialize(stratified_kfold(add_weights(rows), key, LABEL, n_folds, seed),
+                       "training")
 
 
 def add_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -88,6 +94,8 @@ class RandomFourierMap(Transformer, DefaultParamsReadable, DefaultParamsWritable
     def __init__(self, *, inputCol="features", outputCol="fourier", gamma=0.05, size=128,
                  seed=SEED):
         super().__init__()
+        self._setDefault(inputCol="features", outputCol="fourier", gamma=0.05, size=128,
+                         seed=SEED)
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -122,8 +130,8 @@ class NetworkClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
     @keyword_only
     def __init__(self, *, hidden=None, maxIter=100, stepSize=0.03, seed=SEED):
         super().__init__()
+        self._setDefault(hidden=[64, 32], maxIter=100, stepSize=0.03, seed=SEED)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-        self._setDefault(hidden=[64, 32])
 
     def _fit(self, dataset: DataFrame):
         rows = dataset.select("features", LABEL)

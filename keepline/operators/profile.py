@@ -36,11 +36,14 @@ def describe_numeric(df: DataFrame, columns=None, by=(), approx: bool = False) -
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    q = column_quantiles(df, columns, QUARTILES, by, approx).groupBy(*by, "feature").agg(*[
-        F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
-        for p, n in zip(QUARTILES, ("q25", "q50", "q75"))])
-    return moments.join(q, [*by, "feature"], "left").select(
-        *by, "feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    names = dict(zip(QUARTILES, ("q25", "q50", "q75")))
+    q = column_quantiles(df, columns, QUARTILES, by, approx).select(
+        *by, "feature", *[F.when(F.col("p") == p, F.col("q")).alias(n)
+                          for p, n in names.items()])
+    # stacking instead of joining keeps groups with a NULL key
+    both = moments.unionByName(q, allowMissingColumns=True)
+    figures = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    return both.groupBy(*by, "feature").agg(*[F.max(c).alias(c) for c in figures])
 
 
 def describe_by_target(df: DataFrame, target: str, columns=None) -> DataFrame:
@@ -102,7 +105,7 @@ def numeric_histogram(df: DataFrame, columns=None, bins: int = 50) -> DataFrame:
     def bin_of(c):
         x, lo, hi = F.col(c).cast("double"), F.col(f"_lim.{c}.lo"), F.col(f"_lim.{c}.hi")
         raw = F.floor(F.try_divide((x - lo) * bins, hi - lo))
-        return F.least(F.coalesce(raw, F.when(x.isNotNull(), F.lit(0))), F.lit(bins - 1))
+        return F.when(x.isNotNull(), F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)))
 
     binned = limit.select(*[bin_of(c).cast("int").alias(c) for c in columns]).unpivot(
         [], columns, "feature", "bin")

@@ -1,4 +1,6 @@
 """All named queries."""
 
-from . import choosing, cleaning, drifting, features, profile, value  # noqa: F401
+from . import (  # noqa: F401
+    choosing, cleaning, drifting, features, profile, stored, streams, training, value,
+)
 from .registry import CHECKS, QUERIES  # noqa: F401

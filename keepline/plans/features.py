@@ -9,6 +9,7 @@ from ..operators import cleaning as C
 from ..operators import encoding as E
 from ..operators import features as X
 from ..operators import splits as S
+from ..session import materialize
 from ..sources import views as V
 from .registry import query
 from .sqltext import ctes, r
@@ -129,7 +130,7 @@ def standard_scale(spark, d):
 
 
 def _engineered(spark, d):
-    clean = C.preprocess(V.customers(spark, d)).withColumn(
+    clean = materialize(C.preprocess(V.customers(spark, d)), "clean").withColumn(
         "label", F.col("Churn").cast("double"))
     return X.TelcoFeatures().fit(clean).transform(clean)
 

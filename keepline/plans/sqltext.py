@@ -215,6 +215,8 @@ def psi_sql(expected: str, actual: str, n_bins: int = 10, by: str = "") -> str:
     """CTEs ending in ``psi_(<by>, feature, psi, dropped)`` for two long sources."""
     ps = ", ".join(f"cast({i / n_bins} as double)" for i in range(n_bins + 1))
     g = f"{by}, " if by else ""
+    gg = f"gr_.{by}, " if by else ""
+    also = f" and gr_.{by} = ab_.{by}" if by else ""
     return f"""
 ex_ as ({expected}), ac_ as ({actual}),
 ed_ as (select feature, list_sort(list_distinct(quantile_cont(value, [{ps}]))) as e
@@ -232,12 +234,12 @@ et_ as (select feature, sum(n) filter (bin is not null) as inside from eb_ group
 gr_ as (select {g}at_.feature, nb, at_.inside as a_in, et_.inside as e_in, at_.total,
     unnest(range(nb)) as bin
   from at_ join nb_ on at_.feature = nb_.feature join et_ on at_.feature = et_.feature),
-sh_ as (select {g}gr_.feature, nb, total, a_in, gr_.bin,
+sh_ as (select {gg}gr_.feature, nb, total, a_in, gr_.bin,
     least(greatest(coalesce(eb_.n, 0) / cast(greatest(e_in, 1) as double), 1e-6), 1.0) as e,
     least(greatest(coalesce(ab_.n, 0) / cast(greatest(coalesce(a_in, 0), 1) as double), 1e-6),
       1.0) as a
   from gr_ left join eb_ on gr_.feature = eb_.feature and gr_.bin = eb_.bin
-  left join ab_ using ({g}feature, bin)),
+  left join ab_ on gr_.feature = ab_.feature and gr_.bin = ab_.bin{also}),
 psi_ as (select {g}feature, case when nb < 2 then 0.0 else sum((a - e) * ln(a / e)) end as psi,
     cast(total - coalesce(a_in, 0) as bigint) as dropped
   from sh_ group by {g}feature, nb, total, a_in)"""

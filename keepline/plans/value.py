@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.expressions import literal_edges
 from ..operators import business as B
 from ..operators import metrics as M
 from ..sources import views as V
@@ -125,7 +126,7 @@ _GRID = "g_ as (select unnest(range(201)) / cast(200 as double) as threshold)"
 select threshold, count(*) as n from (select {r('threshold')} as threshold from g_),
   customers group by threshold""")
 def threshold_grid(spark, d):
-    grid = F.array(*[F.lit(t) for t in B.threshold_grid()])
+    grid = literal_edges(B.threshold_grid())
     return V.customers(spark, d).select(F.explode(grid).alias("threshold")).groupBy(
         "threshold").agg(F.count(F.lit(1)).alias("n"))
 

@@ -25,6 +25,9 @@ PREDICTION_LOG = _struct(
     model_uri=_STR, threshold=_DBL, y_pred=_INT, y_pred_proba=_DBL, features=_STR,
 )
 
+# as written: partitioned by day
+STORED_LOG = T.StructType(PREDICTION_LOG.fields + [T.StructField("created_date", T.DateType())])
+
 DRIFT_METRICS = T.StructType([
     T.StructField("computed_at", _TS),
     T.StructField("window_days", _INT),

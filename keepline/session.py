@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -18,3 +18,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="keepline-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table that is read many times to the shared folder and read it back.
+
+    The plan of the result starts at the written files, so a lost executor costs only the
+    files it was reading.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..constants import DRIFT_WINDOW_DAYS, N_FOLDS
+from ..constants import DRIFT_FEATURES, DRIFT_WINDOW_DAYS, N_FOLDS
 from ..functions.ordered import long_format
+from ..operators.cleaning import coerce_numeric
 from ..operators.metrics import confusion_report as _confusion
 
 
@@ -34,32 +35,42 @@ def log_records(scored: DataFrame, feature_cols, defaults: dict | None = None) -
     ])
 
 
-def append_predictions(records: DataFrame, path: str) -> None:
-    """Append log records; no input rows add no rows."""
-    dated = records.withColumn("created_date", F.to_date("created_at"))
-    dated.write.mode("append").partitionBy("created_date").parquet(path)
+def by_date(records: DataFrame, unit: str = "day") -> DataFrame:
+    """Add ``created_date`` (the day, or the first day of the month) and bring the rows of
+    a date together for writing.
+
+    Rebalancing splits a date with very many rows over several tasks and merges small ones,
+    so neither a hot date nor thousands of small files come out.
+    """
+    dated = records.withColumn("created_date", F.date_trunc(unit, "created_at").cast("date"))
+    return dated.hint("rebalance", "created_date")
+
+
+def append_predictions(records: DataFrame, path: str, unit: str = "day") -> None:
+    """Append log records; no input rows add no rows. A long, thin log takes month folders."""
+    by_date(records, unit).write.mode("append").partitionBy("created_date").parquet(path)
 
 
 def read_prediction_log(log: DataFrame, window_days: int = DRIFT_WINDOW_DAYS,
                         as_of: datetime | None = None) -> DataFrame:
     """``created_at, features, y_pred_proba`` of the last ``window_days`` days.
 
-    With ``as_of`` given the bounds are constants, so day folders outside the window are
-    not even listed.
+    The date bound is the start of the month, which holds for day and month folders alike;
+    folders before it are not read.
     """
     days = F.make_dt_interval(F.lit(window_days))
     if as_of is None:
         rows = log.where(F.col("created_at") >= F.current_timestamp() - days)
         if "created_date" in log.columns:
-            rows = rows.where(F.col("created_date") >= F.date_sub(
-                F.current_date(), window_days + 1))
+            rows = rows.where(F.col("created_date") >= F.trunc(F.date_sub(
+                F.current_date(), window_days + 1), "month"))
     else:
         start = as_of - timedelta(days=window_days)
         instant = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp")
         rows = log.where((F.col("created_at") >= instant(start))
                          & (F.col("created_at") <= instant(as_of)))
         if "created_date" in log.columns:
-            rows = rows.where(F.col("created_date") >= F.lit(start.date()))
+            rows = rows.where(F.col("created_date") >= F.lit(start.date().replace(day=1)))
     return rows.select("created_at", "features", "y_pred_proba")
 
 
@@ -78,10 +89,8 @@ def append_drift_metrics(summary: DataFrame, path: str) -> None:
 
 def make_baseline(scored: DataFrame, path: str, model_uri: str, features=None) -> None:
     """Write the long baseline and its one-row description from a scored training table."""
-    from ..constants import DRIFT_FEATURES
-
     cols = [c for c in (features or DRIFT_FEATURES) if c in scored.columns]
-    long_format(scored, cols).write.mode("overwrite").partitionBy("feature").parquet(
+    long_format(coerce_numeric(scored, cols), cols).write.mode("overwrite").partitionBy("feature").parquet(
         f"{path}/values")
     scored.agg(F.lit(model_uri).alias("model_uri"), F.count(F.lit(1)).alias("n_rows")) \
         .write.mode("overwrite").parquet(f"{path}/meta")

@@ -22,67 +22,59 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with orders, in the 21-column customer shape."""
     orders = table(spark, sf_dir, "orders")
     last_day = orders.agg(F.max("o_orderdate")).scalar()
-
-    def orders_with(cond):
-        return F.count_if(cond)
-
-    per_customer = orders.groupBy(F.col("o_custkey").alias("k")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
-        F.min("o_orderdate").alias("f"),
-        F.max("o_orderdate").alias("l"),
-        orders_with(F.col("o_orderpriority") == "1-URGENT").alias("p1"),
-        orders_with(F.col("o_orderpriority") == "2-HIGH").alias("p2"),
-        orders_with(F.col("o_orderpriority") == "3-MEDIUM").alias("p3"),
-        orders_with(F.col("o_orderpriority") == "4-NOT SPECIFIED").alias("p4"),
-        orders_with(F.col("o_orderpriority") == "5-LOW").alias("p5"),
-        orders_with(F.col("o_orderstatus") == "F").alias("sf"),
+    priorities = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    per_customer = orders.groupBy("o_custkey").agg(
+        F.expr("count(1) as n"),
+        F.expr("sum(cast(round(o_totalprice * 100) as bigint)) as cents"),
+        F.expr("min(o_orderdate) as f"),
+        F.expr("max(o_orderdate) as l"),
+        *[F.expr(f"count_if(o_orderpriority = '{p}') as p{p[0]}") for p in priorities],
+        F.expr("count_if(o_orderstatus = 'F') as sf"),
     )
     base = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(per_customer, F.col("c_custkey") == F.col("k"))
-        .withColumn("inet", F.when(F.col("c_mktsegment") == "MACHINERY", "No")
-                    .when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), "DSL")
-                    .otherwise("Fiber optic"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(per_customer, F.expr("c_custkey = o_custkey"))
+        .withColumn("idle", F.datediff(last_day, "l"))
+        .selectExpr("*", "c_custkey as k", """case when c_mktsegment = 'MACHINERY' then 'No'
+            when c_mktsegment in ('BUILDING', 'AUTOMOBILE') then 'DSL'
+            else 'Fiber optic' end as inet""")
     )
-    k, n = F.col("k"), F.col("n")
-
-    def yes_no(cond):
-        return F.when(cond, "Yes").otherwise("No")
-
-    def service(cond):
-        return F.when(F.col("inet") == "No", "No internet service").otherwise(yes_no(cond))
-
-    return base.select(
-        k.cast("string").alias("customerID"),
-        F.when(k % 2 == 0, "Female").otherwise("Male").alias("gender"),
-        F.when(k % 5 == 0, 1).otherwise(0).alias("SeniorCitizen"),
-        yes_no(F.col("c_acctbal") > 4500).alias("Partner"),
-        yes_no(F.col("n_regionkey") < 2).alias("Dependents"),
-        F.floor(F.datediff("l", "f") / 30).cast("int").alias("tenure"),
-        F.when(k % 11 == 0, "No").otherwise("Yes").alias("PhoneService"),
-        F.when(k % 11 == 0, "No phone service").otherwise(yes_no(n >= 10))
-        .alias("MultipleLines"),
-        F.col("inet").alias("InternetService"),
-        service(F.col("p1") >= 2).alias("OnlineSecurity"),
-        service(F.col("p2") >= 2).alias("OnlineBackup"),
-        service(F.col("p3") >= 2).alias("DeviceProtection"),
-        service(F.col("p4") >= 2).alias("TechSupport"),
-        service(F.col("p5") >= 2).alias("StreamingTV"),
-        service(F.col("sf") >= 4).alias("StreamingMovies"),
-        F.when(n >= 13, "Two year").when(n >= 10, "One year").otherwise("Month-to-month")
-        .alias("Contract"),
-        yes_no(k % 3 != 0).alias("PaperlessBilling"),
-        F.when(k % 4 == 0, "Electronic check").when(k % 4 == 1, "Mailed check")
-        .when(k % 4 == 2, "Bank transfer (automatic)")
-        .otherwise("Credit card (automatic)").alias("PaymentMethod"),
-        (F.floor(F.col("cents") / (n * 2500).cast("double")).cast("double") / 100.0)
-        .alias("MonthlyCharges"),
-        F.when(k % 97 == 0, " ")
-        .otherwise(F.floor(F.col("cents") / F.lit(2500.0)).cast("long").cast("string"))
-        .alias("TotalCharges"),
-        yes_no(F.datediff(last_day, "l") > 300).alias("Churn"),
+
+    def yes_no(cond, name):
+        return f"if({cond}, 'Yes', 'No') as {name}"
+
+    def service(cond, name):
+        return (f"case when inet = 'No' then 'No internet service' "
+                f"when {cond} then 'Yes' else 'No' end as {name}")
+
+    return base.selectExpr(
+        "cast(k as string) as customerID",
+        "if(k % 2 = 0, 'Female', 'Male') as gender",
+        "if(k % 5 = 0, 1, 0) as SeniorCitizen",
+        yes_no("c_acctbal > 4500", "Partner"),
+        yes_no("n_regionkey < 2", "Dependents"),
+        "cast(datediff(l, f) div 30 as int) as tenure",
+        yes_no("k % 11 <> 0", "PhoneService"),
+        "case when k % 11 = 0 then 'No phone service' when n >= 10 then 'Yes' else 'No' end"
+        " as MultipleLines",
+        "inet as InternetService",
+        service("p1 >= 2", "OnlineSecurity"),
+        service("p2 >= 2", "OnlineBackup"),
+        service("p3 >= 2", "DeviceProtection"),
+        service("p4 >= 2", "TechSupport"),
+        service("p5 >= 2", "StreamingTV"),
+        service("sf >= 4", "StreamingMovies"),
+        "case when n >= 13 then 'Two year' when n >= 10 then 'One year'"
+        " else 'Month-to-month' end as Contract",
+        yes_no("k % 3 <> 0", "PaperlessBilling"),
+        "case k % 4 when 0 then 'Electronic check' when 1 then 'Mailed check'"
+        " when 2 then 'Bank transfer (automatic)' else 'Credit card (automatic)' end"
+        " as PaymentMethod",
+        "cast(floor(cents / cast(n * 2500 as double)) as double) / 100D as MonthlyCharges",
+        "if(k % 97 = 0, ' ', cast(cast(floor(cents / 2500D) as bigint) as string))"
+        " as TotalCharges",
+        yes_no("idle > 300", "Churn"),
     )
 
 

@@ -12,12 +12,12 @@ from ..functions.ordered import long_format
 from ..operators.cleaning import coerce_numeric
 from ..operators.drift import bin_counts, psi_from_counts
 from ..session import scratch_path
-from ..sources.tables import append_predictions
+from ..sources.tables import append_predictions, by_date
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType,
                 max_files: int | None = None) -> DataFrame:
-    """Parquet files as a stream; ``path`` may be a folder or a pattern."""
+    """Parquet files as a stream; ``path`` is a folder, or a pattern for files or folders."""
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -50,8 +50,8 @@ def stream_score(requests: DataFrame, score: Callable[[DataFrame], tuple[DataFra
     """
     def write(batch: DataFrame, batch_no: int) -> None:
         records, bad = score(batch)
-        records.withColumn("created_date", F.to_date("created_at")).write.mode(
-            "overwrite").partitionBy("created_date").parquet(f"{log_path}/batch={batch_no}")
+        by_date(records).write.mode("overwrite").partitionBy("created_date").parquet(
+            f"{log_path}/batch={batch_no}")
         bad.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_no}")
 
     return (requests.writeStream.foreachBatch(write)
