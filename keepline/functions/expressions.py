@@ -84,11 +84,16 @@ def hash_unit(seed, *parts) -> Column:
     return head.cast("double") / F.lit(4294967296.0)
 
 
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; adding zero turns -0.0 into 0.0."""
-    return df.select(*[
-        (F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+    return df.selectExpr(*[
+        f"round(`{f.name}`, {digits}) + 0D as `{f.name}`"
+        if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
         for f in df.schema.fields
     ])
 

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .expressions import count_edges, literal_edges
+from .expressions import count_edges, literal_edges, quoted
 
 SLOTS = 1024
 
@@ -127,7 +127,7 @@ def column_quantiles(df: DataFrame, columns, probs, by=(), approx: bool = False,
 
 def column_modes(df: DataFrame, columns) -> DataFrame:
     """Most frequent non-null value per column, smallest on ties: ``feature, mode``."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+    long = df.selectExpr(*[f"cast(`{c}` as string) as `{c}`" for c in columns]).unpivot(
         [], list(columns), "feature", "value")
     counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").count()
     return counts.groupBy("feature").agg(
@@ -137,6 +137,6 @@ def column_modes(df: DataFrame, columns) -> DataFrame:
 
 def one_row(df: DataFrame, name: str, value: str, columns) -> DataFrame:
     """Turn a short ``name, value`` table into a single struct with one field per name."""
-    return df.agg(F.struct(*[
-        F.max(F.when(F.col(name) == c, F.col(value))).alias(c) for c in columns
-    ]).alias("s"))
+    fields = ", ".join(
+        f"max(case when `{name}` = {quoted(c)} then `{value}` end) as `{c}`" for c in columns)
+    return df.agg(F.expr(f"struct({fields})").alias("s"))

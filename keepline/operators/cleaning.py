@@ -70,12 +70,9 @@ def impute_median(df: DataFrame, columns=None) -> DataFrame:
     if not columns:
         return df
     medians = one_row(column_quantiles(df, columns, [0.5]), "feature", "q", columns)
-    return (
-        df.withColumn("_fill", medians.scalar())
-        .withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill.{c}"))
-                      for c in columns})
-        .drop("_fill")
-    )
+    return df.withColumn("_fill", medians.scalar()).selectExpr(*[
+        f"coalesce(cast(`{c}` as double), _fill.`{c}`) as `{c}`" if c in columns else f"`{c}`"
+        for c in df.columns])
 
 
 def impute_mode(df: DataFrame, columns=None, blank_as_null: bool = False) -> DataFrame:
@@ -88,12 +85,9 @@ def impute_mode(df: DataFrame, columns=None, blank_as_null: bool = False) -> Dat
         df = df.withColumns({c: F.when(F.trim(c) != "", F.col(c)) for c in columns
                              if c in string_columns(df)})
     modes = one_row(column_modes(df, columns), "feature", "mode", columns)
-    return (
-        df.withColumn("_fill", modes.scalar())
-        .withColumns({c: F.coalesce(F.col(c), F.col(f"_fill.{c}").cast(df.schema[c].dataType))
-                      for c in columns})
-        .drop("_fill")
-    )
+    return df.withColumn("_fill", modes.scalar()).selectExpr(*[
+        f"coalesce(`{c}`, cast(_fill.`{c}` as {df.schema[c].dataType.simpleString()})) as `{c}`"
+        if c in columns else f"`{c}`" for c in df.columns])
 
 
 def preprocess(df: DataFrame, yes_no_cols=YES_NO_COLS, key: str = KEY_COL,

@@ -12,11 +12,9 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
     MultilayerPerceptronClassifier, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +28,7 @@ from ..session import materialize
 from .cleaning import preprocess
 from .encoding import KBestSelector, build_preprocessor, drop_constant
 from .features import TelcoFeatures
-from .metrics import compute_metrics, cv_summary
+from .metrics import compute_metrics, confusion_counts, cv_summary, rates
 from .scoring import positive_probability
 from .splits import stratified_holdout, stratified_kfold
 
@@ -360,38 +358,65 @@ def sample_params(name: str, n_iter: int, seed: int = SEED, space: dict | None =
     return [{key: draw(spec) for key, spec in space.items()} for _ in range(n_iter)]
 
 
+def _fold_tables(df: DataFrame, n_folds: int, ks, parallelism: int) -> dict:
+    """Per fold: the encoded rows, learned on the other folds and written once, with one
+    selector per wanted number of features. Every candidate reuses them."""
+    def one(fold: int):
+        stages = Pipeline(stages=feature_stages(approx=True)[:-1])
+        train = df.where(F.col("fold") != fold)
+        keep = [c for c in df.columns if c in ("fold", LABEL) or c.startswith("w_")]
+        encoded = materialize(stages.fit(train).transform(df).select(*keep, "varying"), "fold")
+        picks = {k: KBestSelector(k=0 if k == "all" else int(k)).fit(
+            encoded.where(F.col("fold") != fold)) for k in ks}
+        return fold, (encoded, picks)
+
+    with ThreadPool(min(parallelism, n_folds)) as pool:
+        return dict(pool.map(one, range(n_folds)))
+
+
+def _fold_score(model, test: DataFrame, metric: str) -> float:
+    counts = confusion_counts(model.transform(test), (), 0.5, LABEL, "prediction")
+    return float(counts.select(rates()[metric]).first()[0])
+
+
 def _candidates(df: DataFrame, name: str, settings: list[dict], n_folds: int,
                 parallelism: int, metric: str, fixed: dict):
-    """Cross-validate the settings; ``(results, best params, best model)``.
-
-    Spark's cross-validator drives the fits over the fold column. The label-1 recall and
-    precision come from its own evaluator.
-    """
-    evaluators = {"recall": "recallByLabel", "precision": "precisionByLabel",
-                  "f1": "fMeasureByLabel", "accuracy": "accuracy"}
-    if metric not in evaluators:
+    """Cross-validate the settings; ``(results, best params, best model)``."""
+    if metric not in ("accuracy", "precision", "recall", "f1"):
         raise ValueError(f"unknown search metric: {metric}")
-    evaluator = MulticlassClassificationEvaluator(
-        labelCol=LABEL, metricName=evaluators[metric], metricLabel=1.0)
-    rows, best = [], None
+    settings = [{**s, **fixed} for s in settings]
     extra = {"n_rows": df.count()} if name == "logreg" else {}
-    for i, setting in enumerate(settings):
-        params = {**setting, **fixed}
-        k = params.pop("k_best", "all")
-        pipeline = model_pipeline(name, k, approx=True, **params, **extra)
-        data = (add_champion_weight(df, params.get("scale_pos_weight", 6.0))
-                if name == "xgboost" else df)
-        cv = CrossValidator(estimator=pipeline, estimatorParamMaps=[{}], evaluator=evaluator,
-                            foldCol="fold", numFolds=n_folds, parallelism=parallelism,
-                            collectSubModels=False)
-        fitted = cv.fit(data)
-        mean, std = fitted.avgMetrics[0], fitted.stdMetrics[0]
-        rows.append((i, str({**setting, **fixed}), float(mean), float(std)))
-        if best is None or mean > best[0]:
-            best = (mean, setting, fitted.bestModel)
+    if name == "xgboost":
+        df = add_champion_weight(df, 1.0)
+
+    def split(setting):
+        params = {k: v for k, v in setting.items() if k != "k_best"}
+        return setting.get("k_best", "all"), {**params, **extra}
+
+    tables = _fold_tables(df, n_folds, {split(s)[0] for s in settings}, parallelism)
+
+    def one(task):
+        i, fold = task
+        k, params = split(settings[i])
+        encoded, picks = tables[fold]
+        rows = picks[k].transform(encoded)
+        if name == "xgboost":
+            rows = add_champion_weight(rows, params.get("scale_pos_weight", 6.0))
+        model = CLASSIFIERS[name](**params).fit(rows.where(F.col("fold") != fold))
+        return i, _fold_score(model, rows.where(F.col("fold") == fold), metric)
+
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(one, list(itertools.product(range(len(settings)), range(n_folds))))
+    by_setting = [[v for i, v in scores if i == n] for n in range(len(settings))]
+    rows = [(n, str(settings[n]), float(np.mean(v)),
+             float(np.std(v, ddof=1)) if len(v) > 1 else 0.0) for n, v in enumerate(by_setting)]
+    best = max(range(len(rows)), key=lambda n: (rows[n][2], -n))
     results = df.sparkSession.createDataFrame(
         rows, f"candidate int, params string, mean_{metric} double, std_{metric} double")
-    return results, best[1], best[2]
+    k, params = split(settings[best])
+    data = (add_champion_weight(df, params.get("scale_pos_weight", 6.0))
+            if name == "xgboost" else df)
+    return results, settings[best], model_pipeline(name, k, approx=True, **params).fit(data)
 
 
 def random_search(df: DataFrame, name: str, n_iter: int, n_folds: int = N_FOLDS,

@@ -9,20 +9,26 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import (
-    numeric_columns, parse_double, ratio, string_columns,
+    numeric_columns, parse_double, quoted, ratio, string_columns,
 )
 from ..functions.ordered import column_quantiles, exact_quantiles, long_format
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _wide_to_long(df: DataFrame, columns, exprs: dict, names: dict) -> DataFrame:
-    """One aggregate over the table; a row per column with the named figures."""
-    wide = df.agg(*[F.struct(*[exprs[n](c).alias(n) for n in names]).alias(c) for c in columns])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}`.{n}").cast(t).alias(n)
-                                                          for n, t in names.items()])
-                     for c in columns])
-    return wide.select(F.inline(rows))
+def _wide_to_long(df: DataFrame, columns, figures: dict) -> DataFrame:
+    """One aggregate over the table, then a row per column.
+
+    ``figures`` maps a name to a function from a quoted column to a SQL aggregate.
+    """
+    def aggregates(c):
+        return ", ".join(f"{sql(f'`{c}`')} as {n}" for n, sql in figures.items())
+
+    wide = df.agg(*[F.expr(f"struct({aggregates(c)})").alias(c) for c in columns])
+    rows = ", ".join(
+        f"struct({quoted(c)} as `column`, " + ", ".join(f"`{c}`.{n} as {n}" for n in figures)
+        + ")" for c in columns)
+    return wide.selectExpr(f"inline(array({rows}))")
 
 
 def describe_numeric(df: DataFrame, columns=None, by=(), approx: bool = False) -> DataFrame:
@@ -53,41 +59,42 @@ def describe_by_target(df: DataFrame, target: str, columns=None) -> DataFrame:
 
 def describe_schema(df: DataFrame) -> DataFrame:
     """Column name, type and number of non-null values."""
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    types = {f"`{f.name}`": f.dataType.simpleString() for f in df.schema.fields}
     return _wide_to_long(df, df.columns, {
-        "non_null": lambda c: F.count(c),
-        "dtype": lambda c: F.max(F.lit(types[c])),
-    }, {"dtype": "string", "non_null": "long"})
+        "dtype": lambda c: f"max({quoted(types[c])})",
+        "non_null": lambda c: f"count({c})",
+    })
 
 
-def _missing(df: DataFrame, c: str):
-    """NULL, empty, or a single space (longer blanks are not counted here)."""
-    if c in string_columns(df):
-        return F.col(c).isNull() | F.col(c).isin("", " ")
-    return F.col(c).isNull()
+def _missing(df: DataFrame):
+    """SQL test per quoted column: NULL, empty, or a single space (longer blanks do not
+    count here)."""
+    strings = {f"`{c}`" for c in string_columns(df)}
+    return lambda c: (f"({c} is null or {c} in ('', ' '))" if c in strings
+                      else f"({c} is null)")
 
 
 def missing_report(df: DataFrame) -> DataFrame:
     """Missing count and share in percent (two decimals) per column."""
+    missing = _missing(df)
     return _wide_to_long(df, df.columns, {
-        "missing_count": lambda c: F.count_if(_missing(df, c)),
-        "missing_percentage": lambda c: F.round(
-            ratio(F.count_if(_missing(df, c)), F.count(F.lit(1))) * 100, 2),
-    }, {"missing_count": "long", "missing_percentage": "double"})
+        "missing_count": lambda c: f"count_if({missing(c)})",
+        "missing_percentage": lambda c: f"round(coalesce(try_divide(cast(count_if({missing(c)})"
+        " as double), cast(count(1) as double)), 0D) * 100, 2)",
+    })
 
 
 def target_in_missing_rows(df: DataFrame, target: str) -> DataFrame:
     """Target counts over the rows with any missing value."""
-    any_missing = F.lit(False)
-    for c in df.columns:
-        any_missing = any_missing | _missing(df, c)
+    missing = _missing(df)
+    any_missing = " or ".join(missing(f"`{c}`") for c in df.columns)
     return df.where(any_missing).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_counts(df: DataFrame, columns=None) -> DataFrame:
     """``column, level, n`` for all string columns in one shuffle."""
     columns = list(columns or string_columns(df))
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+    long = df.selectExpr(*[f"cast(`{c}` as string) as `{c}`" for c in columns]).unpivot(
         [], columns, "column", "level")
     return long.where(F.col("level").isNotNull()).groupBy("column", "level").agg(
         F.count(F.lit(1)).alias("n"))
@@ -166,19 +173,17 @@ def zscore_outliers(df: DataFrame, columns=None, limit: float = 3.0) -> DataFram
     ]).alias("s"))
     with_stats = df.withColumn("_st", stats.scalar())
     return _wide_to_long(with_stats, columns, {
-        "outliers": lambda c: F.count_if(
-            F.abs(F.try_divide(F.col(c) - F.col(f"_st.{c}.m"), F.col(f"_st.{c}.s"))) > limit),
-    }, {"outliers": "long"})
+        "outliers": lambda c: f"count_if(abs(try_divide({c} - _st.{c}.m, _st.{c}.s)) > {limit})"})
 
 
 def blank_counts(df: DataFrame) -> DataFrame:
     return _wide_to_long(df, string_columns(df), {
-        "blanks": lambda c: F.count_if(F.trim(c) == "")}, {"blanks": "long"})
+        "blanks": lambda c: f"count_if(trim({c}) = '')"})
 
 
 def negative_counts(df: DataFrame, columns=None) -> DataFrame:
     return _wide_to_long(df, list(columns or numeric_columns(df)), {
-        "negatives": lambda c: F.count_if(F.col(c) < 0)}, {"negatives": "long"})
+        "negatives": lambda c: f"count_if({c} < 0)"})
 
 
 def cardinality_report(df: DataFrame, columns=None, limit: int = 10,
@@ -191,7 +196,7 @@ def cardinality_report(df: DataFrame, columns=None, limit: int = 10,
     columns = list(columns or string_columns(df))
     if approx:
         counts = _wide_to_long(df, columns, {
-            "levels": lambda c: F.approx_count_distinct(c)}, {"levels": "long"})
+            "levels": lambda c: f"approx_count_distinct({c})"})
     else:
         counts = value_counts(df, columns).groupBy("column").agg(
             F.count(F.lit(1)).alias("levels"))
@@ -215,10 +220,10 @@ def distribution_shape(df: DataFrame, columns=None) -> DataFrame:
     """Mean, population skewness, excess kurtosis and a label."""
     columns = list(columns or numeric_columns(df))
     shape = _wide_to_long(df, columns, {
-        "mean": lambda c: F.avg(c),
-        "skew": lambda c: F.skewness(c),
-        "kurtosis": lambda c: F.kurtosis(c),
-    }, {"mean": "double", "skew": "double", "kurtosis": "double"})
+        "mean": lambda c: f"avg({c})",
+        "skew": lambda c: f"skewness({c})",
+        "kurtosis": lambda c: f"kurtosis({c})",
+    })
     return shape.withColumn("shape", F.when(F.abs("skew") < 0.5, "normal")
                             .when(F.col("skew") > 0, "right").otherwise("left"))
 

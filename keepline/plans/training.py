@@ -3,7 +3,6 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions.expressions import hash_unit
 from ..operators import metrics as M
 from ..operators import models as L
 from ..operators import scoring as G
@@ -158,9 +157,3 @@ def external_model_score(spark, d):
 
     df = V.customers(spark, d).select("customerID", "tenure")
     return G.external_model_score(df, predict, ["tenure"]).select("customerID", "y_pred_proba")
-
-
-@query(ctes("c") + f""" select k, {r("('0x' || substr(md5('7:' || k), 1, 8))::bigint / 4294967296.0")}
-  as u from c""")
-def hash_uniform(spark, d):
-    return _labelled(spark, d).select("k", hash_unit(7, "k").alias("u"))
