@@ -129,7 +129,7 @@ def read_oof(spark: SparkSession, path: str, run_id: str | None = None,
     message = bad.agg(F.max(F.concat(F.lit("incomplete out-of-fold rows in "), "run_id"))
                       .alias("m"))
     checked = rows.withColumn("_bad", message.scalar())
-    ok = F.when(F.col("_bad").isNotNull(), F.raise_error("_bad")).otherwise(F.lit(True))
+    ok = F.when(F.col("_bad").isNotNull(), F.raise_error(F.col("_bad"))).otherwise(F.lit(True))
     return checked.where(ok.cast("boolean")).drop("_bad")
 
 
