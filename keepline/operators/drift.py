@@ -65,7 +65,8 @@ def psi_from_counts(edges: DataFrame, expected: DataFrame, actual: DataFrame, by
     NULL when a side has no values, 0 with fewer than three edges. ``dropped`` counts the
     actual values outside the baseline range.
     """
-    base = edges.join(_bins_map(expected, (), "e"), "feature")
+    # the same short edge table as in the counts, so its broadcast is shared with them
+    base = _bins_map(expected, (), "e").join(F.broadcast(edges), "feature")
     both = base.join(_bins_map(actual, by, "a"), "feature", "inner" if by else "left")
     value = _index_sum(F.col("edges"), F.size("edges"), F.col("e"), F.col("e_inside"),
                        F.col("a"), F.col("a_inside"))

@@ -152,8 +152,13 @@ def poisson_weight(u):
 
 
 def bootstrap_weights(df: DataFrame, row_id: str, n_bootstrap: int, seed: int) -> DataFrame:
-    """Each row once per replicate with a positive resampling weight."""
-    draws = df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
+    """Each row once per replicate with a positive resampling weight.
+
+    The rows multiply here, so they are first spread over all shuffle partitions: a small
+    or lopsided input would otherwise multiply inside a few tasks.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = df.repartition(width, row_id).withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
     return draws.withColumn("weight", poisson_weight(hash_unit(seed, "replicate", row_id))) \
         .where(F.col("weight") > 0)
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -275,30 +276,34 @@ def scores_of(model, df: DataFrame, row_id: str = KEY_COL) -> DataFrame:
                       positive_probability(out).alias("y_proba"))
 
 
-def oof_predictions(df: DataFrame, pipeline: Pipeline, n_folds: int = N_FOLDS,
-                    parallelism: int = 4, row_id: str = KEY_COL) -> DataFrame:
-    """Out-of-fold scores: fit on the other folds, score the fold, for every fold.
+def _fit_folds(df: DataFrame, pipeline: Pipeline, folds, parallelism: int) -> list:
+    """Models fitted without each listed fold (None: on every row), side by side from a few
+    driver threads, as Spark's own cross-validator does."""
+    def fit(k):
+        return pipeline.fit(df if k is None else df.where(F.col("fold") != k))
 
-    Fits run side by side from a few driver threads, as Spark's own cross-validator does.
-    """
-    def one(k: int) -> DataFrame:
-        model = pipeline.fit(df.where(F.col("fold") != k))
-        return scores_of(model, df.where(F.col("fold") == k), row_id)
+    with ThreadPool(min(parallelism, len(folds))) as pool:
+        return pool.map(fit, folds, chunksize=1)
 
-    with ThreadPool(min(parallelism, n_folds)) as pool:
-        parts = pool.map(one, range(n_folds))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+def _score_folds(df: DataFrame, models: list, row_id: str) -> DataFrame:
+    parts = [scores_of(m, df.where(F.col("fold") == k), row_id) for k, m in enumerate(models)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def oof_predictions(df: DataFrame, pipeline: Pipeline, n_folds: int = N_FOLDS,
+                    parallelism: int = 4, row_id: str = KEY_COL) -> DataFrame:
+    """Out-of-fold scores: fit on the other folds, score the fold, for every fold."""
+    models = _fit_folds(df, pipeline, list(range(n_folds)), parallelism)
+    return _score_folds(df, models, row_id)
 
 
 def cross_validate(df: DataFrame, pipeline: Pipeline, n_folds: int = N_FOLDS,
-                   threshold: float = 0.5, parallelism: int = 4):
+                   threshold: float = 0.5, parallelism: int = 4, row_id: str = KEY_COL):
     """``(fold metrics, mean and deviation per metric, model fitted on everything)``."""
-    folds = compute_metrics(oof_predictions(df, pipeline, n_folds, parallelism), ["fold"],
-                            threshold)
-    return folds, cv_summary(folds, METRICS), pipeline.fit(df)
+    *models, final = _fit_folds(df, pipeline, [*range(n_folds), None], parallelism)
+    folds = compute_metrics(_score_folds(df, models, row_id), ["fold"], threshold)
+    return folds, cv_summary(folds, METRICS), final
 
 
 # The published search spaces.
