@@ -42,7 +42,8 @@ def minmax_score(df: DataFrame, score: str, by=(), output: str = "y_proba") -> D
     by = list(by)
     lims = df.groupBy(*by).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
     if by:
-        both = df.join(lims, by)
+        pairs = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
+        both = df.alias("a").join(lims.alias("b"), pairs).select("a.*", "b._lo", "b._hi")
     else:
         both = df.withColumn("_l", lims.select(F.struct("_lo", "_hi").alias("s")).scalar()) \
             .withColumns({"_lo": F.col("_l._lo"), "_hi": F.col("_l._hi")}).drop("_l")

@@ -151,8 +151,10 @@ def log_run_metrics(values: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def log_run_tags(runs: DataFrame, new_tags: DataFrame) -> DataFrame:
-    """Add ``run_id, key, value`` tags to the runs; a new value replaces an old one."""
-    grouped = new_tags.groupBy("run_id").agg(
+    """Add ``run_id, key, value`` tags to the runs; a new value replaces an old one, and of
+    several new values the largest counts."""
+    single = new_tags.groupBy("run_id", "key").agg(F.max("value").alias("value"))
+    grouped = single.groupBy("run_id").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_new"))
     joined = runs.join(grouped, "run_id", "left")
     kept = F.map_filter("tags", lambda k, _: ~F.coalesce(
