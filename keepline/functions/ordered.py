@@ -22,8 +22,15 @@ SLOTS = 1024
 def sample_edges(df: DataFrame, order: str, slots: int = SLOTS) -> DataFrame:
     """One row, one array column: at most ``slots`` sorted sample values of ``order``."""
     h = F.xxhash64(*df.columns)
-    picked = df.groupBy(F.pmod(h, F.lit(slots)).alias("_slot")).agg(
-        F.min_by(order, h).alias("_pick"))
+    slot = F.pmod(h, F.lit(slots)).alias("_slot")
+    if isinstance(df.schema[order].dataType, (T.StructType, T.StringType)):
+        # such values would force a sort-based aggregate over all rows; take the smallest
+        # hash per slot instead (at most ``slots`` numbers) and look the rows up by it
+        lowest = df.groupBy(slot).agg(F.min(h).alias("_hash")).select("_hash")
+        picked = df.withColumn("_hash", h).join(F.broadcast(lowest), "_hash").select(
+            F.col(order).alias("_pick"))
+    else:
+        picked = df.groupBy(slot).agg(F.min_by(order, h).alias("_pick"))
     return picked.agg(F.sort_array(F.collect_set("_pick")).alias("_edges"))
 
 
