@@ -1,6 +1,5 @@
 """Session helpers: where intermediate tables may be written."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session may go
-    without it; there a temporary folder is as good as shared.
+    The folder is the session's ``spark.checkpoint.dir``; where that is unset, a folder
+    beside the warehouse tables, which all executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="keepline-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
