@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +37,10 @@ def byte_batches(texts: list[str], limit: int) -> Iterator[list[str]]:
         size += len(t)
     if run:
         yield run
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers (a public finalizer; the two factors are fixed values)."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import LOWER, table, texts_of
+from .common import LOWER, mix64, table, texts_of
 from .components import components
 
 SHINGLE = 5
@@ -39,12 +39,6 @@ _ADD = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 _powers: dict[str, np.ndarray] = {}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(33))
-
-
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
         size = max(1 << 16, 1 << n.bit_length())
@@ -70,7 +64,7 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     starts = ends - lengths
     k = min(size, len(words))
     s, e = starts[:len(words) - k + 1], ends[k - 1:]
-    return np.unique(_mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
+    return np.unique(mix64((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
 
 
 def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +75,7 @@ def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         np.minimum(minima, (low[i:i + 1024, None] * _MUL + _ADD).min(0), out=minima)
     keys = np.arange(BANDS, dtype=np.uint64)
     for column in minima.reshape(BANDS, ROWS).T:
-        keys = _mix(keys * _U(_STEP) + column)
+        keys = mix64(keys * _U(_STEP) + column)
     bits = ((minima[:, None] >> np.arange(BITS, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
     packed = np.zeros(WORDS * 64, np.uint8)
     packed[:bits.size] = bits.ravel()
