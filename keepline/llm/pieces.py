@@ -68,10 +68,11 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     table is as long as the vocabulary, so it is broadcast; the grouping reuses the words' own partitions.
     """
     n = F.char_length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - i)),
-        lambda k: F.struct(i.alias("s"), (i + k).alias("t"), F.substring(F.col("word"), i + 1, k).alias("piece")))))
-    rows = words.select("word", F.explode(spans).alias("e")).select("word", "e.*")
+    rows = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - F.col("s")))
+    rows = rows.select("word", "s", F.explode(sizes).alias("k"))
+    rows = rows.select("word", "s", (F.col("s") + F.col("k")).alias("t"),
+                       F.substring(F.col("word"), F.col("s") + 1, F.col("k")).alias("piece"))
     rows = rows.join(F.broadcast(vocabulary.frame(words.sparkSession)), "piece", "left")
     rows = rows.where(F.col("id").isNotNull() | (F.col("t") == F.col("s") + 1))
     return rows.groupBy("word").agg(F.collect_list(F.struct("s", "t", "id", "score")).alias("edges"))
@@ -128,27 +129,39 @@ def fold_merges(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     first. (A BPE model's scores are merge ranks: the path of greatest sum is not the library's answer.)
     """
     key = lambda s, t: s * 256 + t
-    known = F.map_from_entries(F.transform(
-        F.filter("edges", lambda e: e["id"].isNotNull()),
-        lambda e: F.struct(key(e["s"], e["t"]), F.struct(e["score"].alias("score"), e["id"].alias("id")))))
+    longer = F.filter("edges", lambda e: e["t"] > e["s"] + 1)
+    merges = F.map_from_entries(F.transform(longer, lambda e: F.struct(
+        key(e["s"], e["t"]), F.struct(e["score"].alias("score"), e["id"].alias("id")))))
+    single = F.transform(
+        F.array_sort(F.filter("edges", lambda e: e["t"] == e["s"] + 1)), lambda e: e["id"])
     n = F.char_length("word")
-    rows = edges.select("word", n.alias("n"), known.alias("known"))
+    rows = edges.select("word", n.alias("n"), merges.alias("merges"), single.alias("single"))
+    start = F.struct(F.sequence(F.lit(0), F.col("n")).alias("b"), (F.col("n") < 2).alias("done"))
 
-    def step(b: Column, _: Column) -> Column:
+    def step(acc: Column, _: Column) -> Column:
+        b = acc["b"]
         ways = F.transform(F.sequence(F.lit(0), F.size(b) - 3), lambda i: F.struct(
-            F.try_element_at(F.col("known"), key(F.get(b, i), F.get(b, i + 2)))["score"].alias("score"), (-i).alias("i")))
+            F.try_element_at(F.col("merges"), key(F.get(b, i), F.get(b, i + 2)))["score"].alias("score"), (-i).alias("i")))
         best = F.array_max(ways)
-        merged = F.concat(F.slice(b, F.lit(1), 1 - best["i"]), F.slice(b, 3 - best["i"], F.size(b)))
-        return F.when((F.size(b) > 2) & best["score"].isNotNull(), merged).otherwise(b)
-
-    ends = F.aggregate(F.sequence(F.lit(1), F.col("n")), F.sequence(F.lit(0), F.col("n")), step)
-    rows = rows.select("word", "known", ends.alias("b"))
-    path = F.transform(F.sequence(F.lit(0), F.size("b") - 2), lambda i: F.struct(
-        F.get(F.col("b"), i).alias("s"),
-        F.try_element_at(F.col("known"), key(F.get(F.col("b"), i), F.get(F.col("b"), i + 1)))["id"].alias("id")))
+        return F.when(acc["done"], acc).otherwise(F.transform(F.array(best), lambda w: F.when(
+            w["score"].isNull(), F.struct(b.alias("b"), F.lit(True).alias("done"))).otherwise(F.struct(
+                F.concat(F.slice(b, F.lit(1), 1 - w["i"]), F.slice(b, 3 - w["i"], F.size(b))).alias("b"),
+                (F.size(b) <= 3).alias("done"))))[0])
+
+    ends = F.aggregate(F.sequence(F.lit(1), F.col("n")), start, step)["b"]
+    rows = rows.select("word", "merges", "single", ends.alias("b"))
+    path = F.transform(F.sequence(F.lit(0), F.size("b") - 2), lambda i: _edge(
+        F.get(F.col("b"), i), F.get(F.col("b"), i + 1), key))
     return rows.select("word", _ids_of(path, vocabulary).alias("ids"))
 
 
+def _edge(s: Column, t: Column, key) -> Column:
+    """(s, id) of the piece between two boundaries."""
+    one = F.get(F.col("single"), s)
+    return F.struct(s.alias("s"), F.when(t == s + 1, one).otherwise(
+        F.try_element_at(F.col("merges"), key(s, t))["id"]).alias("id"))
+
+
 def merge_long(word: str, vocabulary: Vocabulary) -> list[int]:
     """The same merges for one long run without spaces, with a heap instead of a rescan."""
     n = len(word)
