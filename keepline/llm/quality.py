@@ -16,6 +16,10 @@ from .common import table, texts_of
 SAMPLE_ROWS = 8000
 HIDDEN = 16
 EPOCHS = 400
+#: Weight decay of the network.
+DECAY = 0.01
+#: Share of a standard error that is added to the estimated prior's ratios.
+MARGIN = 0.3
 _PUNCT = np.array([b for b in range(33, 127) if not chr(b).isalnum()])
 
 
@@ -80,7 +84,7 @@ def _train(xp: np.ndarray, xu: np.ndarray, risk, seed: int = 7) -> list[np.ndarr
         z, h = _forward(x, weights)
         g = np.concatenate(risk(z[:len(xp)], z[len(xp):]))
         dh = np.outer(g, weights[2]) * (1 - h * h)
-        grads = [x.T @ dh + 1e-4 * weights[0], dh.sum(0), h.T @ g + 1e-4 * weights[2],
+        grads = [x.T @ dh + DECAY * weights[0], dh.sum(0), h.T @ g + DECAY * weights[2],
                  np.array([g.sum()])]
         for i, grad in enumerate(grads):
             m[i] = 0.9 * m[i] + 0.1 * grad
@@ -119,8 +123,8 @@ def estimate_prior(sp: np.ndarray, su: np.ndarray) -> float:
     cuts = np.quantile(sp, np.linspace(0.02, 0.8, 79))
     fp = np.array([(sp >= c).mean() for c in cuts])
     fu = np.array([(su >= c).mean() for c in cuts])
-    margin = np.sqrt(fu * (1 - fu) / len(su)) + np.sqrt(fp * (1 - fp) / len(sp))
-    ratio = (fu + margin) / np.maximum(fp, 1e-9)
+    spread = np.sqrt(fu * (1 - fu) / len(su)) + np.sqrt(fp * (1 - fp) / len(sp))
+    ratio = (fu + MARGIN * spread) / np.maximum(fp, 1e-9)
     return float(np.clip(ratio.min(), 0.02, 0.98))
 
 
