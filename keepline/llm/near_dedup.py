@@ -193,7 +193,7 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
             c = cols[cols > r] if i == j else cols
             x = bits[c] ^ bits[r]
             x = (x | (x >> _U(1))) & _U(0x5555555555555555)
-            unequal = np.unpackbits(x.view(np.uint8), axis=-1).reshape(len(c), -1).sum(1)
+            unequal = np.bitwise_count(x).sum(1)
             est = 1 - unequal / (BANDS * ROWS) / (1 - 0.5**BITS)
             lo, hi = np.minimum(size[c], size[r]), np.maximum(size[c], size[r])
             for k in c[(est >= least) & (100 * lo >= percent * hi) & (comp[c] != comp[r])]:
