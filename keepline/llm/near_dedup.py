@@ -24,8 +24,9 @@ BITS = 2
 WORDS = -(-BANDS * ROWS * BITS // 64)
 #: A pair is compared exactly unless its estimate lies this many deviations below the bound.
 DEVIATIONS = 5
-#: Buckets of at most this many open classes are compared pair by pair, larger ones in blocks.
-BLOCK = 64
+#: Buckets of at most SMALL open classes are compared pair by pair, larger ones in blocks of BLOCK
+#: by a sharper sketch of SHARP minima with one bit each.
+SMALL, BLOCK, SHARP = 64, 512, 2048
 #: Most ids of one broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -36,6 +37,8 @@ _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 _STEP, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
 _MUL = (_rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1))
 _ADD = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+_SHARP_MUL = _rng.integers(0, 2**32, SHARP, dtype=np.uint32) | np.uint32(1)
+_SHARP_ADD = _rng.integers(0, 2**32, SHARP, dtype=np.uint32)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -95,10 +98,20 @@ def estimate(a: Column, b: Column) -> Column:
     return 1 - (unequal / F.lit(BANDS * ROWS)) / F.lit(1 - 0.5**BITS)
 
 
-def _least_estimate(percent: int) -> float:
-    chance = 0.5**BITS
+def _least_estimate(percent: int, bits: int = BITS, minima: int = BANDS * ROWS) -> float:
+    chance = 0.5**bits
     p = chance + (1 - chance) * percent / 100
-    return percent / 100 - DEVIATIONS * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return percent / 100 - DEVIATIONS * (p * (1 - p) / minima) ** 0.5 / (1 - chance)
+
+
+def sharp_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Lowest bits of SHARP minima, packed."""
+    low = (shingles >> _U(32)).astype(np.uint32)
+    minima = np.full(SHARP, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(low), 64):
+        np.minimum(minima, (low[i:i + 64, None] * _SHARP_MUL + _SHARP_ADD).min(0), out=minima)
+    # The low bit of a product depends on low bits only, so a middle bit is taken.
+    return np.packbits(((minima >> np.uint32(9)) & np.uint32(1)).astype(np.uint8)).view(np.int64)
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,17 +184,23 @@ def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in large buckets (key, cls, comp, bits, n_shingles, m).
+def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in large buckets (key, cls, comp, n_shingles, m).
 
-    A bucket's members are dealt to blocks of about BLOCK rows, and each pair of blocks is one
+    Large groups hold many pairs just below the bound, so their classes get a sharper sketch. A
+    bucket's members are dealt to blocks of about BLOCK rows, and each pair of blocks is one
     group: tasks stay small and only pairs that pass the estimate leave them.
     """
-    least = _least_estimate(percent)
+    least = _least_estimate(percent, 1, SHARP)
     kind = "a binary, b binary"
 
+    def sharpen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [sharp_sketch(np.array(x, np.int64).view(np.uint64)) for x in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["cls", "sharp"])
+
     def compare(group: pa.Table) -> pa.Table:
-        bits = np.array(group.column("bits").to_pylist(), dtype=np.int64).view(np.uint64)
+        bits = np.array(group.column("sharp").to_pylist(), dtype=np.int64).view(np.uint64)
         size = np.array(group.column("n_shingles").to_pylist(), dtype=np.int64)
         comp = np.array(group.column("comp").to_pylist(), dtype=object)
         block = np.array(group.column("block").to_pylist())
@@ -191,10 +210,7 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
         a, b = [], []
         for r in rows:
             c = cols[cols > r] if i == j else cols
-            x = bits[c] ^ bits[r]
-            x = (x | (x >> _U(1))) & _U(0x5555555555555555)
-            unequal = np.bitwise_count(x).sum(1)
-            est = 1 - unequal / (BANDS * ROWS) / (1 - 0.5**BITS)
+            est = 1 - 2 * np.bitwise_count(bits[c] ^ bits[r]).sum(1) / SHARP
             lo, hi = np.minimum(size[c], size[r]), np.maximum(size[c], size[r])
             for k in c[(est >= least) & (100 * lo >= percent * hi) & (comp[c] != comp[r])]:
                 a.append(min(cls[r], cls[k]))
@@ -202,6 +218,8 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     n = F.ceil(F.col("m") / BLOCK).cast("int")
+    sharp = sets.select("cls", "shingles").mapInArrow(sharpen, "cls binary, sharp array<long>")
+    members = members.drop("bits").join(materialize(sharp, "sharp"), "cls")
     dealt = members.withColumn("block", F.pmod(F.xxhash64("cls"), n).cast("int"))
     other = F.explode(F.sequence(F.lit(0), n - 1))
     dealt = dealt.withColumn("other", other).withColumns(
@@ -209,7 +227,8 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("key", "i", "j").applyInArrow(compare, kind)
 
 
-def _bucket_pairs(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _bucket_pairs(docs: DataFrame, doc_id: str, text: str, buckets: DataFrame, classes: DataFrame,
+                  roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a bucket; buckets within one component drop out."""
     rows = buckets.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     rows = rows.select("key", "cls", F.coalesce("root", "cls").alias("comp"))
@@ -217,7 +236,7 @@ def _bucket_pairs(buckets: DataFrame, classes: DataFrame, roots: DataFrame, perc
                                     F.count("*").alias("m")).where("lo <> hi").select("key", "m")
     rows = rows.join(mixed, "key").join(classes.select("cls", "bits", "n_shingles"), "cls")
     rows = materialize(rows, "mixed")
-    small = rows.where(F.col("m") <= BLOCK)
+    small = rows.where(F.col("m") <= SMALL)
     x, y = small.alias("x"), small.alias("y")
     near = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
                   & (F.col("x.comp") != F.col("y.comp")))
@@ -225,7 +244,11 @@ def _bucket_pairs(buckets: DataFrame, classes: DataFrame, roots: DataFrame, perc
         (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
         & (estimate(F.col("x.bits"), F.col("y.bits")) >= _least_estimate(percent)))
     near = near.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    return near.union(_block_pairs(rows.where(F.col("m") > BLOCK), percent))
+    large = rows.where(F.col("m") > SMALL)
+    if large.isEmpty():
+        return near
+    wanted = classes.select("cls", "doc_id").join(large.select("cls").distinct(), "cls")
+    return near.union(_block_pairs(large, _sets(docs, doc_id, text, wanted), percent))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -259,7 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = materialize(stars.distinct(), "stars")
     links = _confirmed(docs, doc_id, text, _promising(stars, classes, percent), classes, percent)
     roots = components(links)
-    rest = _bucket_pairs(buckets.select("key", "cls"), classes, roots, percent).distinct()
+    rest = _bucket_pairs(docs, doc_id, text, buckets.select("key", "cls"), classes, roots, percent).distinct()
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     links = links.union(_confirmed(docs, doc_id, text, rest, classes, percent))
     roots = components(links).withColumnRenamed("node", "cls")

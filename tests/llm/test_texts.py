@@ -75,6 +75,7 @@ def test_near_duplicates(docs, empty):
 
 def test_chains_and_blocks_lose_no_link(spark, monkeypatch):
     """Copies that drift apart step by step, in buckets larger than a block."""
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
     base = prose(20, 400).split()
     texts = [" ".join(base[:3 * i] + [f"new{j}" for j in range(3 * i)] + base[6 * i:]) for i in range(14)]
