@@ -20,7 +20,7 @@ GRAM = 32
 #: Window starts of a long text that are parsed at once.
 SEGMENT = 1 << 22
 _POSITION = np.uint64((1 << 24) - 1)
-#: Most rows (one per document with repeats) of one broadcast; more are joined by shuffle.
+#: Most ranges and rows of one broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
 _U = np.uint64
@@ -28,6 +28,7 @@ _rng = np.random.default_rng(20240502)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 _STEP = 0x9E3779B97F4A7C15
 SPANS = "array<struct<start: long, stop: long>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def _rolling(data: np.ndarray, gram: int) -> np.ndarray:
@@ -110,8 +111,13 @@ def _parse(docs: DataFrame, length: int) -> DataFrame:
 
 def _with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     """Documents with their list of ranges; a list of few rows is broadcast, else both are shuffled."""
-    few = ranges.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(ranges) if few else ranges, "key")
+    size = ranges.agg(F.sum(F.size("ranges") + 1)).first()[0] or 0
+    return docs.join(F.broadcast(ranges) if size <= BROADCAST_ROWS else ranges, "key")
+
+
+def _halves(digests: list[bytes]) -> list[pa.Array]:
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return [pa.array(both[:, 0]), pa.array(both[:, 1])]
 
 
 def _windows(docs: DataFrame, ranges: DataFrame, length: int) -> DataFrame:
@@ -125,14 +131,14 @@ def _windows(docs: DataFrame, ranges: DataFrame, length: int) -> DataFrame:
                 for i in range(0, len(at), 100_000):
                     some = at[i:i + 100_000]
                     yield pa.record_batch(
-                        [pa.array([digest(data[s:s + length]) for s, _ in some], pa.binary()),
+                        [*_halves([digest(data[s:s + length]) for s, _ in some]),
                          pa.array([k] * len(some), pa.int64()),
-                         pa.array([s for s, _ in some], pa.int64()),
+                         pa.array([s for s, _ in some], pa.int32()),
                          pa.array([o for _, o in some], pa.bool_())],
-                        ["window", "key", "start", "own"])
+                        ["w1", "w2", "key", "start", "own"])
 
     rows = _with_ranges(docs, ranges).select("key", "text", "ranges")
-    return rows.mapInArrow(hashed, "window binary, key long, start long, own boolean")
+    return rows.mapInArrow(hashed, "w1 long, w2 long, key long, start int, own boolean")
 
 
 def _repeated_starts(docs: DataFrame, length: int) -> DataFrame:
@@ -168,10 +174,9 @@ def _repeated_starts(docs: DataFrame, length: int) -> DataFrame:
     ranges = materialize(ranges.groupBy("key").agg(
         F.collect_list(F.struct("start", "stop", "own")).alias("ranges")), "ranges")
     windows = materialize(_windows(docs, ranges, length), "windows")
-    met = windows.groupBy("window").agg(F.count("*").alias("m")).where("m > 1").select("window")
-    parts = windows.where("own").join(met, "window", "left_semi")
-    parts = parts.select("key", "start", (F.col("start") + 1).alias("stop"))
-    return whole.union(parts)
+    met = windows.groupBy("w1", "w2").agg(F.count("*").alias("m")).where("m > 1").select("w1", "w2")
+    parts = windows.where("own").join(met, ["w1", "w2"], "left_semi")
+    return whole.union(parts.select("key", "start", (F.col("start") + 1).alias("stop")))
 
 
 def _spans(starts: list[dict], length: int) -> list[dict]:
@@ -184,21 +189,27 @@ def _spans(starts: list[dict], length: int) -> list[dict]:
     return [{"start": a, "stop": b} for a, b in out]
 
 
+def _merger(length: int):
+    """Function that turns ranges of repeated starts into the byte spans to remove."""
+    @F.arrow_udf(SPANS)
+    def merge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for ranges in batches:
+            yield pa.array([_spans(r or [], length) for r in ranges.to_pylist()], _SPANS)
+
+    return merge
+
+
 def _cutter():
-    """Function of (text, starts, length) that gives the removed spans and the remaining bytes."""
-    @F.arrow_udf(f"spans: {SPANS}, kept: binary")
+    """Function of (text, spans) that gives the remaining bytes."""
+    @F.arrow_udf("binary")
     def cut(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        kind = pa.struct([
-            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-            ("kept", pa.binary())])
-        for texts, starts, lengths in batches:
+        for texts, spans in batches:
             rows = []
-            for text, r, n in zip(texts_of(texts), starts.to_pylist(), lengths.to_pylist()):
-                data, spans = text.encode("utf-8", "surrogatepass"), _spans(r or [], n)
-                edges = [0, *(x for s in spans for x in (s["start"], s["stop"])), len(data)]
-                rows.append({"spans": spans, "kept": b"".join(
-                    data[a:b] for a, b in zip(edges[::2], edges[1::2]))})
-            yield pa.array(rows, kind)
+            for text, own in zip(texts_of(texts), spans.to_pylist()):
+                data = text.encode("utf-8", "surrogatepass")
+                edges = [0, *(x for s in own for x in (s["start"], s["stop"])), len(data)]
+                rows.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
+            yield pa.array(rows, pa.binary())
 
     return cut
 
@@ -220,14 +231,14 @@ def cut_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> Da
     """
     keyed = docs.withColumn("key_", F.xxhash64(*docs.columns))
     bare = keyed.select(F.col("key_").alias("key"), F.col(text).alias("text"))
-    starts = _repeated_starts(bare, length).groupBy("key").agg(
+    found = _repeated_starts(bare, length).groupBy("key").agg(
         F.collect_list(F.struct("start", "stop")).alias("starts"))
-    starts = materialize(starts, "starts").withColumnsRenamed({"key": "key_", "starts": "starts_"})
-    few = starts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    joined = keyed.join(F.broadcast(starts) if few else starts, "key_", "left")
-    cut = joined.withColumn("cut_", _cutter()(F.col(text), F.col("starts_"), F.lit(length)))
-    cut = cut.withColumns({"spans": F.col("cut_.spans"), "kept": F.col("cut_.kept")})
-    return cut.drop("key_", "starts_", "cut_")
+    found = found.select(F.col("key").alias("key_"), _merger(length)("starts").alias("spans_"))
+    found = materialize(found, "spans")
+    size = found.agg(F.sum(F.size("spans_") + 1)).first()[0] or 0
+    rows = keyed.join(F.broadcast(found) if size <= BROADCAST_ROWS else found, "key_", "left")
+    rows = rows.withColumn("spans", F.coalesce("spans_", F.array().cast(SPANS)))
+    return rows.withColumn("kept", _cutter()(F.col(text), F.col("spans"))).drop("key_", "spans_")
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
