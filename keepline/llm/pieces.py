@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import table
+from .common import byte_batches, table, texts_of
 
 SPACE = "▁"
 #: Words of up to so many characters go through the lattice; longer runs are folded one by one.
 LATTICE_CHARS = 64
 #: Most words whose encodings are broadcast (about 25 bytes each); rarer ones are joined beyond that.
 BROADCAST_WORDS = 6_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+#: Words of one partition of the lattice, and characters of texts that are split into words at once.
+PART_WORDS, RUN_CHARS = 40_000, 1 << 20
 
 
 class Vocabulary:
@@ -212,9 +214,10 @@ def path_long(word: str, vocabulary: Vocabulary) -> list[int]:
     return [i for ids in reversed(out) for i in ids]
 
 
-def encode_words(words: DataFrame, path: str, kind: str) -> DataFrame:
-    """(word, ids) of distinct words."""
+def encode_words(words: DataFrame, path: str, kind: str, n_words: int) -> DataFrame:
+    """(word, ids) of distinct words, in partitions of about PART_WORDS of them."""
     vocabulary = Vocabulary(path)
+    words = words.repartition(max(1, -(-n_words // PART_WORDS)), "word")
     short = words.where(F.char_length("word") <= LATTICE_CHARS)
     fold = fold_merges if kind == "bpe" else fold_viterbi
 
@@ -252,7 +255,7 @@ def distinct_words(docs: DataFrame, path: str, text: str) -> DataFrame:
             for t in batch.column(0).to_pylist():
                 for w in v.words(t):
                     seen[w] = seen.get(w, 0) + 1
-                if len(seen) > 1_000_000:
+                if len(seen) > 400_000:
                     yield out()
                     seen.clear()
         yield out()
@@ -315,8 +318,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     spark = docs.sparkSession
     words = distinct_words(docs, path, text)
     counted = materialize(words, "words")
-    encoded = encode_words(counted, path, kind)
     n_words = counted.count()
+    encoded = encode_words(counted, path, kind, n_words)
     if n_words <= broadcast_words:
         held, tail = materialize(encoded, "encoded"), None
     else:
@@ -334,7 +337,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     given = spark.sparkContext.broadcast(Encodings(_packed(held)))
     known: dict[str, bytes] = {}
 
-    def unit_lists(texts: list, v: Vocabulary) -> tuple[list[list[str]], set[str]]:
+    def unit_lists(texts: list[str], v: Vocabulary) -> tuple[list[list[str]], set[str]]:
         if len(known) > CACHED_WORDS:
             known.clear()
         lists = [v.words(t) for t in texts]
@@ -350,9 +353,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
         def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v = _vocabulary(path)
             for batch in batches:
-                lists, missing = unit_lists(batch.column(1).to_pylist(), v)
-                pairs = [(k, w) for k, ws in zip(batch.column(0).to_pylist(), lists) for w in missing.intersection(ws)]
-                k, w = zip(*pairs) if pairs else ((), ())
+                keys, pairs = iter(batch.column(0).to_pylist()), []
+                for run in byte_batches(texts_of(batch.column(1)), RUN_CHARS):
+                    lists, missing = unit_lists(run, v)
+                    pairs += [(next(keys), missing.intersection(ws)) for ws in lists]
+                k, w = [k for k, ws in pairs for _ in ws], [w for _, ws in pairs for w in ws]
                 yield pa.record_batch([pa.array(k, pa.int64()), pa.array(w, pa.string())], ["key_", "word"])
 
         wanted = rows.select("key_", text).mapInArrow(rare, "key_ long, word string").distinct()
@@ -364,14 +369,16 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     def to_ids(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         v = _vocabulary(path)
         for texts, own in batches:
-            lists, missing = unit_lists(texts.to_pylist(), v)
-            done = []
-            for ws, more in zip(lists, own.to_pylist()):
-                extra = {m["word"]: np.array(m["ids"], np.int32).tobytes() for m in more or ()}
-                if missing and not missing.isdisjoint(ws):
-                    done.append(b"".join(extra[w] if w in missing else known[w] for w in ws))
-                else:
-                    done.append(b"".join(map(known.__getitem__, ws)))
+            done, tails = [], iter(own)
+            for run in byte_batches(texts_of(texts), RUN_CHARS):
+                lists, missing = unit_lists(run, v)
+                for ws in lists:
+                    more = next(tails).as_py()
+                    if missing and not missing.isdisjoint(ws):
+                        extra = {m["word"]: np.array(m["ids"], np.int32).tobytes() for m in more}
+                        done.append(b"".join(extra[w] if w in missing else known[w] for w in ws))
+                    else:
+                        done.append(b"".join(map(known.__getitem__, ws)))
             stops = np.cumsum([0, *(len(d) // 4 for d in done)]).astype(np.int32)
             yield pa.ListArray.from_arrays(
                 pa.array(stops), pa.array(np.frombuffer(b"".join(done), np.int32)))
