@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -264,6 +265,18 @@ def distinct_words(docs: DataFrame, path: str, text: str) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+@contextmanager
+def _grouped_in_memory(spark: SparkSession) -> Iterator[None]:
+    """A lattice partition holds few words, so their lists are grouped by hash and not sorted."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(4 * PART_WORDS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Encodings:
     """Encodings of many words in flat arrays: sorted 64-bit hashes of words, and their ids."""
 
@@ -321,9 +334,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     n_words = counted.count()
     encoded = encode_words(counted, path, kind, n_words)
     if n_words <= broadcast_words:
-        held, tail = materialize(encoded, "encoded"), None
+        with _grouped_in_memory(spark):
+            held, tail = materialize(encoded, "encoded"), None
     else:
-        encoded = materialize(encoded.join(counted, "word"), "encoded")
+        with _grouped_in_memory(spark):
+            encoded = materialize(encoded.join(counted, "word"), "encoded")
         # The count that at most that many words exceed.
         sizes = encoded.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator()
         total, least = 0, None
@@ -397,8 +412,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -
         v = _vocabulary(path)
         mark = SPACE.encode()
         for batch in batches:
-            texts = [b"".join([v.texts.get(i, b"") for i in x or ()]).replace(mark, b" ").decode("utf-8", "replace")
-                     for x in batch.to_pylist()]
+            texts = []
+            for x in batch:
+                raw = b"".join([v.texts.get(i, b"") for i in x.as_py() or ()])
+                texts.append(raw.replace(mark, b" ").decode("utf-8", "replace"))
             yield pa.array([t[1:] if t.startswith(" ") else t for t in texts], pa.string())
 
     return encoded.withColumn(out, to_text(F.col(ids)))
