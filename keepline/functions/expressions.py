@@ -36,12 +36,17 @@ def ratio(num, den, empty=0.0) -> Column:
     return q if empty is None else F.coalesce(q, F.lit(float(empty)))
 
 
-def count_edges(x, edges, most: int, inclusive: bool = True) -> Column:
-    """How many of the ascending ``edges`` (an array column with at most ``most`` entries)
-    are ``<= x`` (or ``< x``). Binary search, so cost grows with log(most)."""
+def count_edges(x, edges, most: int | None = None, inclusive: bool = True) -> Column:
+    """How many of the ascending ``edges`` (an array column with at most ``most`` entries; any
+    number without it) are ``<= x`` (or ``< x``). Binary search, so cost grows with log(most)."""
     x, edges = as_col(x), as_col(edges)
-    powers = range(max(most, 1).bit_length() - 1, -1, -1)
-    steps = F.expr("array(" + ", ".join(str(1 << i) for i in powers) + ")")
+    if most is None:
+        deepest = F.floor(F.log2(F.greatest(F.size(edges), F.lit(1)))).cast("int")
+        steps = F.transform(F.sequence(deepest, F.lit(0), F.lit(-1)),
+                            lambda i: F.pow(F.lit(2), i).cast("int"))
+    else:
+        powers = range(max(most, 1).bit_length() - 1, -1, -1)
+        steps = F.expr("array(" + ", ".join(str(1 << i) for i in powers) + ")")
 
     def step(pos, s):
         edge = F.get(edges, pos + s - 1)
@@ -50,7 +55,7 @@ def count_edges(x, edges, most: int, inclusive: bool = True) -> Column:
     return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0))
 
 
-def right_closed_bin(x, edges, most: int) -> Column:
+def right_closed_bin(x, edges, most: int | None = None) -> Column:
     """Bin index for bins ``(a, b]`` with the lowest edge included; values outside the
     edges go to the outer bins and NULL to -1."""
     x, edges = as_col(x), as_col(edges)
@@ -59,7 +64,7 @@ def right_closed_bin(x, edges, most: int) -> Column:
     return F.when(x.isNull(), F.lit(-1)).otherwise(F.least(raw, last)).cast("int")
 
 
-def left_closed_bin(x, edges, most: int) -> Column:
+def left_closed_bin(x, edges, most: int | None = None) -> Column:
     """Bin index for bins ``[a, b)`` with the last bin closed; NULL outside the edges."""
     x, edges = as_col(x), as_col(edges)
     n = F.size(edges)

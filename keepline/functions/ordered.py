@@ -16,11 +16,21 @@ from pyspark.sql import types as T
 
 from .expressions import count_edges, literal_edges, quoted
 
-SLOTS = 1024
+#: Value ranges per shuffle partition, and the least number of ranges.
+RANGES_PER_PARTITION, LEAST_RANGES = 16, 1024
 
 
-def sample_edges(df: DataFrame, order: str, slots: int = SLOTS) -> DataFrame:
+def range_count(df: DataFrame, slots: int | None) -> int:
+    """``slots``, or as many ranges as the session's shuffle partitions ask for."""
+    if slots is not None:
+        return slots
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_RANGES, RANGES_PER_PARTITION * partitions)
+
+
+def sample_edges(df: DataFrame, order: str, slots: int | None = None) -> DataFrame:
     """One row, one array column: at most ``slots`` sorted sample values of ``order``."""
+    slots = range_count(df, slots)
     h = F.xxhash64(*df.columns)
     slot = F.pmod(h, F.lit(slots)).alias("_slot")
     if isinstance(df.schema[order].dataType, (T.StructType, T.StringType)):
@@ -35,7 +45,7 @@ def sample_edges(df: DataFrame, order: str, slots: int = SLOTS) -> DataFrame:
 
 
 def running_sums(df: DataFrame, keys, order: str, measures, bucket: Column | None = None,
-                 slots: int = SLOTS) -> DataFrame:
+                 slots: int | None = None) -> DataFrame:
     """Add ``cum_<m>`` (sum up to and including the row, ascending ``order`` within
     ``keys``) and ``total_<m>`` for each measure.
 
@@ -43,7 +53,7 @@ def running_sums(df: DataFrame, keys, order: str, measures, bucket: Column | Non
     id). ``bucket`` replaces the sampled ranges when the caller knows a monotone and
     evenly filled one, such as a hash prefix.
     """
-    keys = list(keys)
+    keys, slots = list(keys), range_count(df, slots)
     df = df.withColumns({m: F.col(m).cast("long") for m in measures
                          if isinstance(df.schema[m].dataType, T.IntegerType)})
     if bucket is None:

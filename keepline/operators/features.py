@@ -34,11 +34,10 @@ def quantile_edges(df: DataFrame, column_bins: dict, approx: bool = False) -> Da
 
 
 def apply_bins(c, edges):
-    """Right-closed bin of a column, NULL to -1; ``edges`` is a list or an array column
-    with at most 1024 entries."""
+    """Right-closed bin of a column, NULL to -1; ``edges`` is a list or an array column."""
     if isinstance(edges, (list, tuple)):
         return right_closed_bin(c, literal_edges(edges), len(edges))
-    return right_closed_bin(c, edges, 1024)
+    return right_closed_bin(c, edges)
 
 
 def total_charges_per_month(total="TotalCharges", tenure="tenure", eps: float = EPSILON):

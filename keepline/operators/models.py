@@ -124,12 +124,13 @@ class NetworkClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
     hidden = Param(Params._dummy(), "hidden", "hidden layer sizes", TypeConverters.toListInt)
     maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
     stepSize = Param(Params._dummy(), "stepSize", "step size", TypeConverters.toFloat)
+    solver = Param(Params._dummy(), "solver", "gd or l-bfgs", TypeConverters.toString)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, hidden=None, maxIter=100, stepSize=0.03, seed=SEED):
+    def __init__(self, *, hidden=None, maxIter=100, stepSize=0.03, solver="l-bfgs", seed=SEED):
         super().__init__()
-        self._setDefault(hidden=[64, 32], maxIter=100, stepSize=0.03, seed=SEED)
+        self._setDefault(hidden=[64, 32], maxIter=100, stepSize=0.03, solver="l-bfgs", seed=SEED)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame):
@@ -147,6 +148,7 @@ class NetworkClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         return MultilayerPerceptronClassifier(
             layers=[head["d"], *self.getOrDefault("hidden"), 2], labelCol=LABEL,
             maxIter=self.getOrDefault("maxIter"), stepSize=self.getOrDefault("stepSize"),
+            solver=self.getOrDefault("solver"),
             seed=self.getOrDefault("seed")).fit(repeated)
 
 
@@ -154,10 +156,41 @@ def _weights(params: dict) -> str:
     return "w_balanced" if params.get("class_weight") == "balanced" else "w_none"
 
 
-def logreg(n_rows: int | None = None, max_iter: int = 100, **p) -> LogisticRegression:
-    """Elastic-net logistic regression; ``C`` becomes 1 / (C n)."""
-    reg = 1.0 / (p.get("C", 1.0) * n_rows) if n_rows else 0.0
-    return LogisticRegression(labelCol=LABEL, maxIter=max_iter, regParam=reg,
+class PenaltyByRows(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Fits a linear estimator whose penalty is 1 / (C n), n being the rows it is fitted on."""
+
+    C = Param(Params._dummy(), "C", "inverse penalty of the sum of losses", TypeConverters.toFloat)
+    margin = Param(Params._dummy(), "margin", "fit a margin, not a probability",
+                   TypeConverters.toBoolean)
+    l1 = Param(Params._dummy(), "l1", "share of the absolute penalty", TypeConverters.toFloat)
+    maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+    weightCol = Param(Params._dummy(), "weightCol", "row weights", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, C=1.0, margin=False, l1=0.0, maxIter=100, weightCol="w_none"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+        self._setDefault(C=1.0, margin=False, l1=0.0, maxIter=100, weightCol="w_none")
+
+    def _fit(self, dataset: DataFrame):
+        get = self.getOrDefault
+        reg = 1.0 / (get("C") * max(dataset.count(), 1))
+        common = {"labelCol": LABEL, "regParam": reg, "maxIter": get("maxIter"),
+                  "weightCol": get("weightCol")}
+        if get("margin"):
+            return LinearSVC(featuresCol="fourier", rawPredictionCol="svm_raw",
+                             predictionCol="svm_class", **common).fit(dataset)
+        return LogisticRegression(elasticNetParam=get("l1"), **common).fit(dataset)
+
+
+def logreg(n_rows: int | None = None, max_iter: int = 100, **p) -> Estimator:
+    """Elastic-net logistic regression; ``C`` becomes 1 / (C n), n being ``n_rows`` or else the
+    rows of each fit."""
+    if n_rows is None:
+        return PenaltyByRows(C=float(p.get("C", 1.0)), l1=float(p.get("l1_ratio", 0.0)),
+                             maxIter=max_iter, weightCol=_weights(p))
+    return LogisticRegression(labelCol=LABEL, maxIter=max_iter,
+                              regParam=1.0 / (p.get("C", 1.0) * n_rows),
                               elasticNetParam=p.get("l1_ratio", 0.0), weightCol=_weights(p))
 
 
@@ -191,13 +224,12 @@ def gradient_boosting(**p) -> GBTClassifier:
                              {"max_depth": 3, **p}))
 
 
-# settings of the boosted model that Spark's trees have no place for
-NOT_CARRIED = ("reg_alpha", "reg_lambda")
-
-
 def boosted_champion(**p) -> GBTClassifier:
     """The production model on Spark's boosted trees; a positive row weighs
-    ``scale_pos_weight`` through the ``w_champion`` column (``add_champion_weight``)."""
+    ``scale_pos_weight`` through the ``w_champion`` column (``add_champion_weight``).
+
+    Spark's trees have no place for ``reg_alpha`` and ``reg_lambda``; ``gamma`` bounds the gain
+    of a split, ``colsample_bytree`` is drawn per node, and ``min_child_weight`` counts rows."""
     p = {**CHAMPION_PARAMS, **p}
     return GBTClassifier(
         labelCol=LABEL, seed=SEED, maxIter=int(p["n_estimators"]),
@@ -216,18 +248,20 @@ def kernel_svm(size: int = 128, max_iter: int = 50, **p) -> Pipeline:
     """RBF machine with probabilities: cosine features, linear machine, calibrated margin."""
     return Pipeline(stages=[
         RandomFourierMap(gamma=p.get("gamma", 0.05), size=size),
-        LinearSVC(featuresCol="fourier", labelCol=LABEL, rawPredictionCol="svm_raw",
-                  predictionCol="svm_class", regParam=p.get("reg", 0.01), maxIter=max_iter,
-                  weightCol=_weights(p)),
+        PenaltyByRows(C=float(p.get("C", 1.0)), margin=True, maxIter=max_iter,
+                      weightCol=_weights(p)),
         VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1]),
         LogisticRegression(featuresCol="svm_margin", labelCol=LABEL),
     ])
 
 
 def mlp(**p) -> NetworkClassifier:
+    """Feed-forward network. With a ``learning_rate`` it is fitted by gradient descent with that
+    step, else by l-bfgs, which has none."""
     return NetworkClassifier(hidden=list(p.get("hidden_layers", [64, 32])),
                              maxIter=int(p.get("max_epochs", 100)),
-                             stepSize=p.get("learning_rate", 0.03))
+                             stepSize=p.get("learning_rate", 0.03),
+                             solver="gd" if "learning_rate" in p else "l-bfgs")
 
 
 CLASSIFIERS = {
@@ -390,13 +424,12 @@ def _candidates(df: DataFrame, name: str, settings: list[dict], n_folds: int,
     if metric not in ("accuracy", "precision", "recall", "f1"):
         raise ValueError(f"unknown search metric: {metric}")
     settings = [{**s, **fixed} for s in settings]
-    extra = {"n_rows": df.count()} if name == "logreg" else {}
     if name == "xgboost":
         df = add_champion_weight(df, 1.0)
 
     def split(setting):
         params = {k: v for k, v in setting.items() if k != "k_best"}
-        return setting.get("k_best", "all"), {**params, **extra}
+        return setting.get("k_best", "all"), params
 
     tables = _fold_tables(df, n_folds, {split(s)[0] for s in settings}, parallelism)
 

@@ -32,13 +32,6 @@ def fold_metric(run_metrics: DataFrame, key: str, n_folds: int = N_FOLDS) -> Dat
         .where(F.col("n") == n_folds).drop("n")
 
 
-def last_metric(run_metrics: DataFrame, key: str) -> DataFrame:
-    """``run_id, value``: the newest logged value of a key."""
-    return run_metrics.where(F.col("key") == key).groupBy("run_id").agg(
-        F.max_by("value", F.struct(F.coalesce("step", F.lit(0)), "ts", "value"))
-        .alias("value"))
-
-
 def is_cv_run(n_folds: int = N_FOLDS):
     n = str(n_folds)
     return F.coalesce(_param("cv_folds") == n, F.lit(False)) | F.coalesce(

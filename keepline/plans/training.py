@@ -32,7 +32,7 @@ def _fit_query(name, classifier, **params):
         return _holdout_metrics(spark, d, classifier, **params)
 
 
-_fit_query("logreg", "logreg", C=1.0, l1_ratio=0.2, class_weight="balanced", n_rows=1000)
+_fit_query("logreg", "logreg", C=1.0, l1_ratio=0.2, class_weight="balanced")
 _fit_query("decision_tree", "DecisionTree", max_depth=4, class_weight="balanced")
 _fit_query("random_forest", "RandomForest", n_estimators=20, max_depth=6)
 _fit_query("gradient_boosting", "GradientBoosting", n_estimators=10)
@@ -75,7 +75,7 @@ def grid_cv(spark, d):
 
 @query()
 def cross_validate(spark, d):
-    pipeline = L.model_pipeline("logreg", 15, approx=True, C=1.0, n_rows=1000, max_iter=20)
+    pipeline = L.model_pipeline("logreg", 15, approx=True, C=1.0, max_iter=20)
     return L.cross_validate(prepared(spark, d), pipeline, FOLDS)[1]
 
 

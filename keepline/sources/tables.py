@@ -111,19 +111,20 @@ def write_oof(oof: DataFrame, path: str) -> None:
 def read_oof(spark: SparkSession, path: str, run_id: str | None = None,
              n_folds: int = N_FOLDS) -> DataFrame:
     """Out-of-fold rows; a run without all folds, or with a label or score missing, fails
-    the query that reads it.
+    the query that reads it, and a run that is not there fails at once.
 
-    The check is a small aggregate over (run, fold) that reads neither labels nor scores in
-    full: counts come from column statistics of the scan where Spark can use them.
+    The check is one grouped count over (run, fold); it reads the label and score columns.
     """
     rows = spark.read.schema(schemas.OOF).parquet(path)
     if run_id is not None:
         rows = rows.where(F.col("run_id") == run_id)
-    folds = rows.where(F.col("fold").between(0, n_folds - 1)).groupBy("run_id", "fold").agg(
+        if rows.isEmpty():
+            raise ValueError(f"no out-of-fold rows of run {run_id}")
+    folds = rows.groupBy("run_id", "fold").agg(
         F.count("y_true").alias("a"), F.count("y_proba").alias("b"),
         F.count(F.lit(1)).alias("n"))
     runs = folds.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("folds"),
+        F.count_if(F.col("fold").between(0, n_folds - 1)).alias("folds"),
         F.max((F.col("a") != F.col("b")).cast("int")).alias("uneven"))
     bad = runs.where((F.col("folds") != n_folds) | (F.col("uneven") == 1))
     message = bad.agg(F.max(F.concat(F.lit("incomplete out-of-fold rows in "), "run_id"))
@@ -163,10 +164,6 @@ def log_run_tags(runs: DataFrame, new_tags: DataFrame) -> DataFrame:
         F.map_concat(kept, "_new"))).drop("_new")
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def write_cv_results(results: DataFrame, path: str, metric: str) -> None:
     """Candidate table, best first, as CSV (one short row per tried setting)."""
     results.orderBy(F.col(metric).desc()).coalesce(1).write.mode("overwrite").option(

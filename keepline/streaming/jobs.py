@@ -1,5 +1,6 @@
 """Running streams: sources, sinks, scoring and rolling drift."""
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from ..functions.ordered import long_format
 from ..operators.cleaning import coerce_numeric
 from ..operators.drift import bin_counts, psi_from_counts
 from ..session import scratch_path
-from ..sources.tables import append_predictions, by_date
+from ..sources.tables import by_date
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType,
@@ -46,13 +47,16 @@ def stream_score(requests: DataFrame, score: Callable[[DataFrame], tuple[DataFra
 
     ``score`` returns accepted log records and rejected requests of a micro-batch. A batch
     that is replayed after a failure overwrites its own ``batch`` folder, so nothing is
-    counted twice.
+    counted twice. The folder's name starts with a hash of the checkpoint, so streams with
+    other checkpoints, which count batches from 0 again, leave it alone.
     """
+    own = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
     def write(batch: DataFrame, batch_no: int) -> None:
         records, bad = score(batch)
         by_date(records).write.mode("overwrite").partitionBy("created_date").parquet(
-            f"{log_path}/batch={batch_no}")
-        bad.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_no}")
+            f"{log_path}/batch={own}-{batch_no}")
+        bad.write.mode("overwrite").parquet(f"{rejected_path}/batch={own}-{batch_no}")
 
     return (requests.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -76,8 +80,3 @@ def stream_drift(counts: DataFrame, edges: DataFrame, expected: DataFrame) -> Da
     ``counts`` has at most one row per window, feature and bin, whatever the traffic.
     """
     return psi_from_counts(edges, expected, counts, ["window_start", "window_end"])
-
-
-def scored_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that appends finished log records."""
-    return lambda batch, _: append_predictions(batch, path)

@@ -27,13 +27,6 @@ def spark():
     session.stop()
 
 
-COLUMNS = ["customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "tenure",
-           "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity",
-           "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
-           "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod",
-           "MonthlyCharges", "TotalCharges", "Churn"]
-
-
 def customer_rows(copies: int = 30):
     """Hand-made customers: six kinds, each repeated with its own id and charges."""
     out = []

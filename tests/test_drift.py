@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,32 +12,31 @@ def long(spark, name, values):
                                  "feature string, value double")
 
 
-def brute_psi(expected, actual, bins=10):
-    cuts = np.unique(np.quantile(expected, np.linspace(0, 1, bins + 1)))
-    if len(cuts) < 3:
-        return 0.0
-    e, a = (np.histogram(x, bins=cuts)[0] for x in (expected, actual))
-    e, a = (np.clip(x / max(x.sum(), 1), 1e-6, 1.0) for x in (e, a))
-    return float(np.sum((a - e) * np.log(a / e)))
+def test_two_bins_by_formula(spark):
+    """Edges 0, 10, 20: half of the baseline on either side, one in four of the others above."""
+    base = [0.0, 4.0, 10.0, 10.0, 14.0, 16.0, 20.0, 20.0]
+    frame = long(spark, "x", [v for v in base for _ in range(10)])
+    seen = long(spark, "x", [1.0] * 30 + [19.0] * 10 + [99.0] * 3 + [-1.0])
+    got = D.psi(frame, seen, n_bins=2).first()
+    below = 4 / 8
+    want = (0.75 - below) * math.log(0.75 / below) + (0.25 - (1 - below)) * math.log(0.25 / (1 - below))
+    assert got["psi"] == pytest.approx(want, abs=1e-9) and got["dropped"] == 4
 
 
-def test_index_equals_histograms(spark):
+def test_equal_samples_and_swapped_sides(spark):
     rng = np.random.default_rng(3)
-    e, a = rng.normal(0, 1, 3000), rng.normal(0.4, 1.2, 2000)
-    got = D.psi(long(spark, "x", e), long(spark, "x", a)).first()
-    assert got["psi"] == pytest.approx(brute_psi(e, a), abs=1e-9)
-    assert got["dropped"] == int(((a < e.min()) | (a > e.max())).sum())
-
-
-def test_repeated_values_and_few_edges(spark):
-    rng = np.random.default_rng(4)
-    e = rng.choice([0.0, 1.0, 2.0, 50.0], 900, p=[0.6, 0.2, 0.15, 0.05])
-    a = rng.choice([0.0, 1.0, 2.0, 50.0], 700, p=[0.2, 0.5, 0.2, 0.1])
-    got = D.psi(long(spark, "x", e), long(spark, "x", a)).first()
-    assert got["psi"] == pytest.approx(brute_psi(e, a), abs=1e-9)
-    flat = D.psi(long(spark, "x", [5.0] * 30), long(spark, "x", [1.0, 2.0])).first()
+    values = rng.normal(0, 1, 2000).round(2)
+    same = D.psi(long(spark, "x", values), long(spark, "x", rng.permutation(values))).first()
+    assert same["psi"] == pytest.approx(0.0, abs=1e-12) and same["dropped"] == 0
+    near = D.psi(long(spark, "x", values), long(spark, "x", values + 0.2)).first()["psi"]
+    far = D.psi(long(spark, "x", values), long(spark, "x", values + 0.8)).first()["psi"]
+    assert 0 < near < far
+
+
+def test_one_value_and_no_value(spark):
+    flat = D.psi(long(spark, "x", [5.0] * 30), long(spark, "x", [5.0, 5.0])).first()
     assert flat["psi"] == 0.0
-    empty = D.psi(long(spark, "x", e), long(spark, "x", [None])).first()
+    empty = D.psi(long(spark, "x", range(50)), long(spark, "x", [None])).first()
     assert empty["psi"] is None
 
 
