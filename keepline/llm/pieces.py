@@ -17,8 +17,10 @@ from ..session import materialize
 from .common import byte_batches, table, texts_of
 
 SPACE = "▁"
-#: Words of up to so many characters go through the lattice; longer runs are folded one by one.
-LATTICE_CHARS = 64
+#: Words of up to so many characters go through the lattice (boundaries are bits of a long); longer runs are
+#: folded one by one.
+LATTICE_CHARS = 60
+_LATE = 1 << 62
 #: Most words whose encodings are broadcast (about 25 bytes each); rarer ones are joined beyond that.
 BROADCAST_WORDS = 6_000_000
 CACHED_WORDS = 200_000
@@ -47,12 +49,19 @@ class Vocabulary:
         # A line break inside no piece ends a word as well.
         stop = "" if any("\n" in p for p in self.pieces) else "\n"
         self.units = re.compile(f"{SPACE}+[^{SPACE}{stop}]*|[^{SPACE}{stop}]+" + (f"|{stop}" if stop else ""))
+        # No piece holds two neighbours that are not here, so no path of a lattice crosses between them.
+        self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.texts = {i: p.encode() for p, (i, _) in self.pieces.items()}
         self.texts |= {i: bytes([b]) for b, i in self.bytes.items()}
 
     def words(self, text: str | None) -> list[str]:
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def runs(self, unit: str) -> list[str]:
+        """A word cut where no piece holds both neighbours; each run is encoded by itself."""
+        cuts = [0, *(i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.pairs), len(unit)]
+        return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def of_char(self, c: str) -> list[int]:
         if c in self.pieces:
             return [self.pieces[c][0]]
@@ -64,11 +73,22 @@ class Vocabulary:
         return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
-def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def path_edge() -> Column:
+    return F.struct("s", "t", "id", "score")
+
+
+def merge_edge() -> Column:
+    """An edge by rank, with its two ends and the boundaries between them as bits."""
+    return F.struct(
+        (-F.col("score")).alias("rank"), "s", "t", "id", F.expr("shiftleft(1L, s) + shiftleft(1L, t)").alias("ends"),
+        F.expr("shiftleft(1L, t) - shiftleft(1L, s + 1)").alias("inner"))
+
+
+def lattice(words: DataFrame, vocabulary: Vocabulary, edge: Column | None = None) -> DataFrame:
     """(word, edges): substrings of bounded length joined to the piece table, grouped by word.
 
-    An edge is (s, t, id, score); a single character outside the table keeps an edge without id. The
-    table is as long as the vocabulary, so it is broadcast; the grouping reuses the words' own partitions.
+    An edge is (s, t, id, score) or as ``edge`` says; a single character outside the table keeps an edge without
+    id. The table is as long as the vocabulary, so it is broadcast; the grouping reuses the words' own partitions.
     """
     n = F.char_length("word")
     rows = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
@@ -78,7 +98,7 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                        F.substring(F.col("word"), F.col("s") + 1, F.col("k")).alias("piece"))
     rows = rows.join(F.broadcast(vocabulary.frame(words.sparkSession)), "piece", "left")
     rows = rows.where(F.col("id").isNotNull() | (F.col("t") == F.col("s") + 1))
-    return rows.groupBy("word").agg(F.collect_list(F.struct("s", "t", "id", "score")).alias("edges"))
+    return rows.groupBy("word").agg(F.collect_list(path_edge() if edge is None else edge).alias("edges"))
 
 
 def _byte_ids(char: Column, vocabulary: Vocabulary) -> Column:
@@ -128,41 +148,29 @@ def fold_viterbi(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def fold_merges(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(word, ids) as a BPE model merges: over and over the best edge that spans two neighbours.
 
-    The state is the list of boundaries; an edge of the lattice is a possible merge. Of equal scores the leftmost goes
-    first. (A BPE model's scores are merge ranks: the path of greatest sum is not the library's answer.)
+    (A BPE model's scores are merge ranks: the path of greatest sum is not the library's answer.) The state is the set
+    of boundaries as bits; edges come by rank, then from the left. An edge with both ends and one boundary between is
+    merged; one that lost an end can never be. One with both ends and more between might become possible late, out of
+    this order: such words get null ids and are merged one by one. Without any, the fold is what the library does.
     """
-    key = lambda s, t: s * 256 + t
-    longer = F.filter("edges", lambda e: e["t"] > e["s"] + 1)
-    merges = F.map_from_entries(F.transform(longer, lambda e: F.struct(
-        key(e["s"], e["t"]), F.struct(e["score"].alias("score"), e["id"].alias("id")))))
-    single = F.transform(
-        F.array_sort(F.filter("edges", lambda e: e["t"] == e["s"] + 1)), lambda e: e["id"])
-    n = F.char_length("word")
-    rows = edges.select("word", n.alias("n"), merges.alias("merges"), single.alias("single"))
-    start = F.struct(F.sequence(F.lit(0), F.col("n")).alias("b"), (F.col("n") < 2).alias("done"))
+    def bits(e: Column, acc: Column) -> tuple[Column, Column]:
+        return acc.bitwiseAND(e["ends"]) == e["ends"], acc.bitwiseAND(e["inner"])
 
-    def step(acc: Column, _: Column) -> Column:
-        b = acc["b"]
-        ways = F.transform(F.sequence(F.lit(0), F.size(b) - 3), lambda i: F.struct(
-            F.try_element_at(F.col("merges"), key(F.get(b, i), F.get(b, i + 2)))["score"].alias("score"), (-i).alias("i")))
-        best = F.array_max(ways)
-        return F.when(acc["done"], acc).otherwise(F.transform(F.array(best), lambda w: F.when(
-            w["score"].isNull(), F.struct(b.alias("b"), F.lit(True).alias("done"))).otherwise(F.struct(
-                F.concat(F.slice(b, F.lit(1), 1 - w["i"]), F.slice(b, 3 - w["i"], F.size(b))).alias("b"),
-                (F.size(b) <= 3).alias("done"))))[0])
+    def step(acc: Column, e: Column) -> Column:
+        reached, between = bits(e, acc)
+        return F.when(~reached | (e["t"] == e["s"] + 1), acc).when(
+            F.bit_count(between) == 1, acc.bitwiseXOR(between)).otherwise(acc.bitwiseOR(F.lit(_LATE)))
 
-    ends = F.aggregate(F.sequence(F.lit(1), F.col("n")), start, step)["b"]
-    rows = rows.select("word", "merges", "single", ends.alias("b"))
-    path = F.transform(F.sequence(F.lit(0), F.size("b") - 2), lambda i: _edge(
-        F.get(F.col("b"), i), F.get(F.col("b"), i + 1), key))
-    return rows.select("word", _ids_of(path, vocabulary).alias("ids"))
+    def on_path(e: Column) -> Column:
+        reached, between = bits(e, F.col("ends"))
+        return reached & (between == 0)
 
-
-def _edge(s: Column, t: Column, key) -> Column:
-    """(s, id) of the piece between two boundaries."""
-    one = F.get(F.col("single"), s)
-    return F.struct(s.alias("s"), F.when(t == s + 1, one).otherwise(
-        F.try_element_at(F.col("merges"), key(s, t))["id"]).alias("id"))
+    start = F.expr("shiftleft(1L, char_length(word) + 1) - 1")
+    rows = edges.select("word", "edges", F.aggregate(F.array_sort("edges"), start, step).alias("ends"))
+    path = F.array_sort(F.transform(F.filter("edges", on_path), lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id"))))
+    rows = rows.select("word", F.when(F.col("ends") < _LATE, path).alias("path"))
+    ids = F.when(F.exists("path", lambda e: e["id"].isNull()), _ids_of(F.col("path"), vocabulary))
+    return rows.select("word", ids.otherwise(F.transform("path", lambda e: e["id"])).alias("ids"))
 
 
 def merge_long(word: str, vocabulary: Vocabulary) -> list[int]:
@@ -220,17 +228,22 @@ def encode_words(words: DataFrame, path: str, kind: str, n_words: int) -> DataFr
     vocabulary = Vocabulary(path)
     words = words.repartition(max(1, -(-n_words // PART_WORDS)), "word")
     short = words.where(F.char_length("word") <= LATTICE_CHARS)
-    fold = fold_merges if kind == "bpe" else fold_viterbi
+    if kind == "bpe":
+        folded = fold_merges(lattice(short, vocabulary, merge_edge()), vocabulary)
+    else:
+        folded = fold_viterbi(lattice(short, vocabulary), vocabulary)
 
     def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         long = merge_long if kind == "bpe" else path_long
         for batch in batches:
-            ids = [long(w, _vocabulary(path)) for w in batch.column(0).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            words, ids = batch.columns
+            if ids.null_count:
+                ids = pa.array([long(w, _vocabulary(path)) if i is None else i for w, i in zip(
+                    words.to_pylist(), ids.to_pylist())], pa.list_(pa.int32()))
+            yield pa.record_batch([words, ids], ["word", "ids"])
 
-    long = words.where(F.char_length("word") > LATTICE_CHARS).select("word")
-    return fold(lattice(short, vocabulary), vocabulary).union(
-        long.mapInArrow(one_by_one, "word string, ids array<int>"))
+    long = words.where(F.char_length("word") > LATTICE_CHARS).select("word", F.lit(None).cast("array<int>").alias("ids"))
+    return folded.union(long).mapInArrow(one_by_one, "word string, ids array<int>")
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -243,13 +256,17 @@ def _vocabulary(path: str) -> Vocabulary:
 
 
 def distinct_words(docs: DataFrame, path: str, text: str) -> DataFrame:
-    """(word, n) over all texts, counted in the tasks first."""
+    """(word, n) over all texts, counted in the tasks first: runs that the pieces cannot cross."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(path)
         seen: dict[str, int] = {}
 
         def out() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+            runs: dict[str, int] = {}
+            for w, n in seen.items():
+                for r in v.runs(w):
+                    runs[r] = runs.get(r, 0) + n
+            return pa.record_batch([pa.array(list(runs), pa.string()), pa.array(list(runs.values()), pa.int64())],
                                    ["word", "n"])
 
         for batch in batches:
@@ -320,7 +337,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     """Add the piece ids of each text, as the model at ``path`` encodes it.
 
     A text starts with a space mark and spaces become marks. Pieces hold marks only in front, so words (marks
-    and what follows, or a line break) are encoded by themselves: distinct words of all texts are exploded
+    and what follows, or a line break) are encoded by themselves, and so are the runs of a word between neighbours
+    that no piece holds together: distinct runs of all texts are exploded
     into substrings of bounded length, joined to the piece table, grouped into lattices and folded (``kind``: "bpe"
     merges, "unigram" Viterbi). Texts then look their words up: the encodings of the ``broadcast_words`` most frequent
     words are broadcast in flat arrays (a bounded size); other words are joined by shuffle.
@@ -352,14 +370,21 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     given = spark.sparkContext.broadcast(Encodings(_packed(held)))
     known: dict[str, bytes] = {}
 
-    def unit_lists(texts: list[str], v: Vocabulary) -> tuple[list[list[str]], set[str]]:
+    def look_up(texts: list[str], v: Vocabulary) -> tuple[list[list[str]], dict[str, list]]:
+        """Words of each text; runs and ids of the words that are not all held, the ids null where not held."""
         if len(known) > CACHED_WORDS:
             known.clear()
         lists = [v.words(t) for t in texts]
-        new = set().union(*lists) - known.keys()
-        found = given.value.look_up(list(new))
-        known.update(found)
-        return lists, new - found.keys()
+        new = {w: v.runs(w) for w in set().union(*lists) - known.keys()}
+        found = given.value.look_up(list(set().union(*new.values())))
+        open_ = {}
+        for w, runs in new.items():
+            parts = [found.get(r) for r in runs]
+            if None in parts:
+                open_[w] = list(zip(runs, parts))
+            else:
+                known[w] = b"".join(parts)
+        return lists, open_
 
     rows, key = docs, []
     if tail is not None:
@@ -370,8 +395,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
             for batch in batches:
                 keys, pairs = iter(batch.column(0).to_pylist()), []
                 for run in byte_batches(texts_of(batch.column(1)), RUN_CHARS):
-                    lists, missing = unit_lists(run, v)
-                    pairs += [(next(keys), missing.intersection(ws)) for ws in lists]
+                    lists, open_ = look_up(run, v)
+                    pairs += [(next(keys), {r for w in open_.keys() & ws for r, ids in open_[w] if ids is None})
+                              for ws in lists]
                 k, w = [k for k, ws in pairs for _ in ws], [w for _, ws in pairs for w in ws]
                 yield pa.record_batch([pa.array(k, pa.int64()), pa.array(w, pa.string())], ["key_", "word"])
 
@@ -386,12 +412,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
         for texts, own in batches:
             done, tails = [], iter(own)
             for run in byte_batches(texts_of(texts), RUN_CHARS):
-                lists, missing = unit_lists(run, v)
+                lists, open_ = look_up(run, v)
                 for ws in lists:
                     more = next(tails).as_py()
-                    if missing and not missing.isdisjoint(ws):
+                    if own_words := open_.keys() & ws:
                         extra = {m["word"]: np.array(m["ids"], np.int32).tobytes() for m in more}
-                        done.append(b"".join(extra[w] if w in missing else known[w] for w in ws))
+                        extra = {w: b"".join(extra[r] if ids is None else ids for r, ids in open_[w]) for w in own_words}
+                        done.append(b"".join(extra[w] if w in extra else known[w] for w in ws))
                     else:
                         done.append(b"".join(map(known.__getitem__, ws)))
             stops = np.cumsum([0, *(len(d) // 4 for d in done)]).astype(np.int32)
