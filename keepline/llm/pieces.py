@@ -69,27 +69,21 @@ class Vocabulary:
         return [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(p, i, float(s)) for p, (i, s) in self.pieces.items()]
-        return spark.createDataFrame(rows, "piece string, id int, score double")
+        """The piece table; equal scores have equal ranks, the greatest the first."""
+        scores = sorted({s for _, s in self.pieces.values()}, reverse=True)
+        ranks = {s: i + 1 for i, s in enumerate(scores)}
+        rows = [(p, i, float(s), ranks[s]) for p, (i, s) in self.pieces.items()]
+        return spark.createDataFrame(rows, "piece string, id int, score double, rank int")
 
 
-def path_edge() -> Column:
-    return F.struct("s", "t", "id", "score")
-
-
-def merge_edge() -> Column:
-    """An edge by rank, with its two ends and the boundaries between them as bits."""
-    return F.struct(
-        (-F.col("score")).alias("rank"), "s", "t", "id", F.expr("shiftleft(1L, s) + shiftleft(1L, t)").alias("ends"),
-        F.expr("shiftleft(1L, t) - shiftleft(1L, s + 1)").alias("inner"))
-
-
-def lattice(words: DataFrame, vocabulary: Vocabulary, edge: Column | None = None) -> DataFrame:
+def lattice(words: DataFrame, vocabulary: Vocabulary, **lists: Column) -> DataFrame:
     """(word, edges): substrings of bounded length joined to the piece table, grouped by word.
 
-    An edge is (s, t, id, score) or as ``edge`` says; a single character outside the table keeps an edge without
-    id. The table is as long as the vocabulary, so it is broadcast; the grouping reuses the words' own partitions.
+    An edge is (s, t, id, score); a single character outside the table keeps an edge without id. ``lists`` gives
+    other lists to gather; nulls are left out. The table is as long as the vocabulary, so it is broadcast; the
+    grouping reuses the words' own partitions.
     """
+    lists = lists or {"edges": F.struct("s", "t", "id", "score")}
     n = F.char_length("word")
     rows = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
     sizes = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - F.col("s")))
@@ -98,7 +92,8 @@ def lattice(words: DataFrame, vocabulary: Vocabulary, edge: Column | None = None
                        F.substring(F.col("word"), F.col("s") + 1, F.col("k")).alias("piece"))
     rows = rows.join(F.broadcast(vocabulary.frame(words.sparkSession)), "piece", "left")
     rows = rows.where(F.col("id").isNotNull() | (F.col("t") == F.col("s") + 1))
-    return rows.groupBy("word").agg(F.collect_list(path_edge() if edge is None else edge).alias("edges"))
+    rows = rows.select("word", *(edge.alias(name) for name, edge in lists.items()))
+    return rows.groupBy("word").agg(*(F.collect_list(name).alias(name) for name in lists))
 
 
 def _byte_ids(char: Column, vocabulary: Vocabulary) -> Column:
@@ -145,6 +140,19 @@ def fold_viterbi(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return best.select("word", _ids_of(path, vocabulary).alias("ids"))
 
 
+def merge_lists(vocabulary: Vocabulary) -> dict[str, Column]:
+    """The list of a lattice that ``fold_merges`` reads: an edge in one long, which sorts by rank, then start.
+
+    From the low bits: id plus one (24 bits, 0 for none), length and start (6 each), rank by score (single characters
+    before all others).
+    """
+    if max((i for i, _ in vocabulary.pieces.values()), default=0) >= 1 << 23:
+        raise ValueError("more pieces than an edge can number")
+    return {"edges": F.expr(
+        "shiftleft(if(t = s + 1, 0L, cast(rank as long)), 36) + shiftleft(cast(s as long), 30)"
+        " + shiftleft(cast(t - s as long), 24) + coalesce(id + 1, 0)")}
+
+
 def fold_merges(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(word, ids) as a BPE model merges: over and over the best edge that spans two neighbours.
 
@@ -153,24 +161,38 @@ def fold_merges(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     merged; one that lost an end can never be. One with both ends and more between might become possible late, out of
     this order: such words get null ids and are merged one by one. Without any, the fold is what the library does.
     """
-    def bits(e: Column, acc: Column) -> tuple[Column, Column]:
-        return acc.bitwiseAND(e["ends"]) == e["ends"], acc.bitwiseAND(e["inner"])
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at)
+    field = lambda e, low: F.shiftright(e, low).cast("int").bitwiseAND(F.lit(63))
 
     def step(acc: Column, e: Column) -> Column:
-        reached, between = bits(e, acc)
-        return F.when(~reached | (e["t"] == e["s"] + 1), acc).when(
-            F.bit_count(between) == 1, acc.bitwiseXOR(between)).otherwise(acc.bitwiseOR(F.lit(_LATE)))
+        # Boundaries from the start on: both ends, and what lies between.
+        s, size = field(e, 30), field(e, 24)
+        here = F.call_function("shiftright", acc, s)
+        ends = bit(size) + 1
+        between = here.bitwiseAND(bit(size) - 2)
+        return F.when(here.bitwiseAND(ends) != ends, acc).when(
+            F.bit_count(between) == 1, acc.bitwiseXOR(F.call_function("shiftleft", between, s))).otherwise(
+                acc.bitwiseOR(F.lit(_LATE)))
 
     def on_path(e: Column) -> Column:
-        reached, between = bits(e, F.col("ends"))
-        return reached & (between == 0)
+        size = field(e, 24)
+        span = bit(size + 1) - 1
+        return F.call_function("shiftright", F.col("b"), field(e, 30)).bitwiseAND(span) == bit(size) + 1
 
-    start = F.expr("shiftleft(1L, char_length(word) + 1) - 1")
-    rows = edges.select("word", "edges", F.aggregate(F.array_sort("edges"), start, step).alias("ends"))
-    path = F.array_sort(F.transform(F.filter("edges", on_path), lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id"))))
-    rows = rows.select("word", F.when(F.col("ends") < _LATE, path).alias("path"))
-    ids = F.when(F.exists("path", lambda e: e["id"].isNull()), _ids_of(F.col("path"), vocabulary))
-    return rows.select("word", ids.otherwise(F.transform("path", lambda e: e["id"])).alias("ids"))
+    n = F.char_length("word")
+    rows = edges.select("word", n.alias("n"), F.sort_array("edges").alias("edges"))
+    wide = F.slice("edges", F.col("n") + 1, F.size("edges"))
+    rows = rows.select("word", "edges", F.aggregate(wide, F.expr("shiftleft(1L, n + 1) - 1"), step).alias("b"))
+    # Start in the high half, id plus one in the low.
+    path = F.transform(F.filter("edges", on_path), lambda e: F.shiftleft(field(e, 30).cast("long"), 32).bitwiseOR(
+        e.bitwiseAND(F.lit((1 << 24) - 1))))
+    rows = rows.select("word", F.when(F.col("b") < _LATE, F.sort_array(path)).alias("path"))
+    id_of = lambda m: m.cast("long").bitwiseAND(F.lit((1 << 24) - 1)).cast("int") - 1
+    rows = rows.select("word", "path", F.transform("path", id_of).alias("ids"))
+    with_bytes = F.transform("path", lambda m: F.struct(
+        F.shiftright(m, 32).cast("int").alias("s"), F.nullif(id_of(m), F.lit(-1)).alias("id")))
+    return rows.select("word", F.when(
+        F.array_contains("ids", -1), _ids_of(with_bytes, vocabulary)).otherwise(F.col("ids")).alias("ids"))
 
 
 def merge_long(word: str, vocabulary: Vocabulary) -> list[int]:
@@ -229,7 +251,7 @@ def encode_words(words: DataFrame, path: str, kind: str, n_words: int) -> DataFr
     words = words.repartition(max(1, -(-n_words // PART_WORDS)), "word")
     short = words.where(F.char_length("word") <= LATTICE_CHARS)
     if kind == "bpe":
-        folded = fold_merges(lattice(short, vocabulary, merge_edge()), vocabulary)
+        folded = fold_merges(lattice(short, vocabulary, **merge_lists(vocabulary)), vocabulary)
     else:
         folded = fold_viterbi(lattice(short, vocabulary), vocabulary)
 
