@@ -26,6 +26,8 @@ BROADCAST_WORDS = 6_000_000
 CACHED_WORDS = 200_000
 #: Words of one partition of the lattice, and characters of texts that are split into words at once.
 PART_WORDS, RUN_CHARS = 40_000, 1 << 20
+#: Lists of ids that are decoded at once.
+ROWS_AT_ONCE = 500
 
 
 class Vocabulary:
@@ -454,18 +456,29 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """Add the text of each list of ids. Null and empty lists give the empty text; control pieces give none.
 
-    Bytes that form no valid text become the replacement character.
+    Bytes that form no valid text become the replacement character; null or unknown ids give nothing.
     """
     @F.arrow_udf("string")
     def to_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = _vocabulary(path)
         mark = SPACE.encode()
+        n = max(v.texts, default=-1) + 1
+        table = pa.array([v.texts.get(i, b"") for i in range(n)] + [b""], pa.large_binary())
         for batch in batches:
+            flat = batch.flatten().fill_null(n).to_numpy(zero_copy_only=False)
+            stops = np.cumsum([0, *batch.value_lengths().fill_null(0).to_pylist()])
             texts = []
-            for x in batch:
-                raw = b"".join([v.texts.get(i, b"") for i in x.as_py() or ()])
-                texts.append(raw.replace(mark, b" ").decode("utf-8", "replace"))
-            yield pa.array([t[1:] if t.startswith(" ") else t for t in texts], pa.string())
+            for first in range(0, len(batch), ROWS_AT_ONCE):
+                ends = stops[first:first + ROWS_AT_ONCE + 1]
+                some = flat[ends[0]:ends[-1]]
+                held = table.take(pa.array(np.where((some >= 0) & (some < n), some, n)))
+                # The bytes of all taken pieces lie one behind the other.
+                at = np.frombuffer(held.buffers()[1], np.int64)[held.offset + ends - ends[0]] if len(held) else 0 * ends
+                data = memoryview(held.buffers()[2]) if len(held) and held.buffers()[2] else b""
+                for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+                    t = bytes(data[i:j]).replace(mark, b" ").decode("utf-8", "replace")
+                    texts.append(t[1:] if t.startswith(" ") else t)
+            yield pa.array(texts, pa.string())
 
     return encoded.withColumn(out, to_text(F.col(ids)))
 
