@@ -27,7 +27,7 @@ CACHED_WORDS = 200_000
 #: Words of one partition of the lattice, and characters of texts that are split into words at once.
 PART_WORDS, RUN_CHARS = 40_000, 1 << 20
 #: Lists of ids that are decoded at once.
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE = 200
 
 
 class Vocabulary:
@@ -465,15 +465,15 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -
         n = max(v.texts, default=-1) + 1
         table = pa.array([v.texts.get(i, b"") for i in range(n)] + [b""], pa.large_binary())
         for batch in batches:
-            flat = batch.flatten().fill_null(n).to_numpy(zero_copy_only=False)
-            stops = np.cumsum([0, *batch.value_lengths().fill_null(0).to_pylist()])
             texts = []
             for first in range(0, len(batch), ROWS_AT_ONCE):
-                ends = stops[first:first + ROWS_AT_ONCE + 1]
-                some = flat[ends[0]:ends[-1]]
+                rows = batch.slice(first, ROWS_AT_ONCE)
+                some = rows.flatten()
+                some = (some.fill_null(n) if some.null_count else some).to_numpy(zero_copy_only=False)
+                ends = np.cumsum([0, *rows.value_lengths().fill_null(0).to_pylist()])
                 held = table.take(pa.array(np.where((some >= 0) & (some < n), some, n)))
                 # The bytes of all taken pieces lie one behind the other.
-                at = np.frombuffer(held.buffers()[1], np.int64)[held.offset + ends - ends[0]] if len(held) else 0 * ends
+                at = np.frombuffer(held.buffers()[1], np.int64)[held.offset + ends] if len(held) else 0 * ends
                 data = memoryview(held.buffers()[2]) if len(held) and held.buffers()[2] else b""
                 for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
                     t = bytes(data[i:j]).replace(mark, b" ").decode("utf-8", "replace")
