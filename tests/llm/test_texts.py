@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on awkward texts."""
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -258,3 +259,29 @@ def test_hits(spark, docs, empty, block):
 
 def test_digest_is_of_utf8():
     assert hashlib.sha256("é".encode()).hexdigest().startswith("4a99557e4033c3539de2eb65472017cad5f9557f7a0625a09f1c3f6e2ba69c4c")
+
+
+def test_merge_fold(spark):
+    """Merges by rank against a rescan of all neighbours, on a table where some become possible late."""
+    class Small(pieces.Vocabulary):
+        def __init__(self):
+            self.pieces = {p: (i, -float(i)) for i, p in enumerate(["ca", "abc", "ab", "bc", "bcb", "a", "b", "aab"])}
+            self.bytes, self.unknown, self.longest = {}, 99, 3
+
+    v = Small()
+
+    def rescan(word: str) -> list[int]:
+        parts = list(word)
+        while ways := [(-v.pieces[a + b][1], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in v.pieces]:
+            i = min(ways)[1]
+            parts[i:i + 2] = ["".join(parts[i:i + 2])]
+        return [v.pieces[p][0] if p in v.pieces else 99 for p in parts]
+
+    words = ["".join(w) for n in range(1, 6) for w in itertools.product("abc", repeat=n)]
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    got = {r["word"]: r["ids"] for r in pieces.fold_merges(
+        pieces.lattice(frame, v, **pieces.merge_lists(v)), v).collect()}
+    assert got.keys() == set(words) and None in got.values()
+    for w in words:
+        assert pieces.merge_long(w, v) == rescan(w) and got[w] in (None, rescan(w))
+    assert got["caab"] is not None and got["a" * 5] == [5] * 5
