@@ -185,11 +185,12 @@ def _ordered(x: str, y: str) -> list[Column]:
 
 
 def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in large buckets (key, cls, comp, n_shingles, m).
+    """Pairs of different components in large buckets (key, cls, comp, n_shingles, keys, m).
 
     Large groups hold many pairs just below the bound, so their classes get a sharper sketch. A
     bucket's members are dealt to blocks of about BLOCK rows, and each pair of blocks is one
-    group: tasks stay small and only pairs that pass the estimate leave them.
+    group: tasks stay small and only pairs that pass the estimate leave them. A pair that meets in several
+    bands leaves the first of them only; where that bucket is small, it is compared there.
     """
     least = _least_estimate(percent, 1, SHARP)
     kind = "a binary, b binary"
@@ -204,6 +205,8 @@ def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         size = np.array(group.column("n_shingles").to_pylist(), dtype=np.int64)
         comp = np.array(group.column("comp").to_pylist(), dtype=object)
         block = np.array(group.column("block").to_pylist())
+        keys = np.array(group.column("keys").to_pylist(), dtype=np.int64)
+        here = group.column("key")[0].as_py()
         cls = group.column("cls").to_pylist()
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         rows, cols = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -212,7 +215,8 @@ def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             c = cols[cols > r] if i == j else cols
             est = 1 - 2 * np.bitwise_count(bits[c] ^ bits[r]).sum(1) / SHARP
             lo, hi = np.minimum(size[c], size[r]), np.maximum(size[c], size[r])
-            for k in c[(est >= least) & (100 * lo >= percent * hi) & (comp[c] != comp[r])]:
+            c = c[(est >= least) & (100 * lo >= percent * hi) & (comp[c] != comp[r])]
+            for k in c[keys[r][(keys[c] == keys[r]).argmax(1)] == here]:
                 a.append(min(cls[r], cls[k]))
                 b.append(max(cls[r], cls[k]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
@@ -248,6 +252,7 @@ def _bucket_pairs(docs: DataFrame, doc_id: str, text: str, buckets: DataFrame, c
     if large.isEmpty():
         return near
     wanted = classes.select("cls", "doc_id").join(large.select("cls").distinct(), "cls")
+    large = large.join(classes.select("cls", "keys"), "cls")
     return near.union(_block_pairs(large, _sets(docs, doc_id, text, wanted), percent))
 
 
