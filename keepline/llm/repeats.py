@@ -173,9 +173,12 @@ def _repeated_starts(docs: DataFrame, length: int) -> DataFrame:
         (F.col("n") == 1).alias("own")).where("start < stop")
     ranges = materialize(ranges.groupBy("key").agg(
         F.collect_list(F.struct("start", "stop", "own")).alias("ranges")), "ranges")
-    windows = materialize(_windows(docs, ranges, length), "windows")
-    met = windows.groupBy("w1", "w2").agg(F.count("*").alias("m")).where("m > 1").select("w1", "w2")
-    parts = windows.where("own").join(met, ["w1", "w2"], "left_semi")
+    # Windows are hashed twice, which is cheaper than a table of them all. Those that meet are written first, so that
+    # one shuffle of windows is gone before the next.
+    windows = _windows(docs, ranges, length)
+    met = materialize(windows.groupBy("w1", "w2").agg(F.count("*").alias("m")).where("m > 1").select("w1", "w2"), "met")
+    few = met.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    parts = windows.where("own").join(F.broadcast(met) if few else met, ["w1", "w2"], "left_semi")
     return whole.union(parts.select("key", "start", (F.col("start") + 1).alias("stop")))
 
 
