@@ -21,7 +21,7 @@ SPACE = "▁"
 #: folded one by one.
 LATTICE_CHARS = 60
 _LATE = 1 << 62
-#: Most words whose encodings are broadcast (about 25 bytes each); rarer ones are joined beyond that.
+#: Most words whose encodings are broadcast (about 27 bytes each); rarer ones are joined beyond that.
 BROADCAST_WORDS = 6_000_000
 CACHED_WORDS = 200_000
 #: Words of one partition of the lattice, and characters of texts that are split into words at once.
@@ -323,7 +323,7 @@ class Encodings:
 
     def __init__(self, blobs: list[tuple[bytes, bytes, bytes]]):
         hashes, sizes, ids = (np.concatenate([np.frombuffer(b[i], t) for b in blobs] or [np.empty(0, t)])
-                              for i, t in enumerate((np.uint64, np.uint16, np.int32)))
+                              for i, t in enumerate((np.uint64, np.uint32, np.int32)))
         order = np.argsort(hashes, kind="stable")
         starts = (np.cumsum(sizes.astype(np.int64)) - sizes)[order]
         self.hashes, self.starts, self.sizes, self.ids = hashes[order], starts, sizes[order], ids
@@ -348,7 +348,7 @@ def _packed(words: DataFrame) -> list[tuple[bytes, bytes, bytes]]:
         for batch in batches:
             ids = batch.column(1)
             hashes = np.fromiter(map(_hash, batch.column(0).to_pylist()), np.uint64, batch.num_rows)
-            sizes = np.asarray(ids.value_lengths()).astype(np.uint16)
+            sizes = np.asarray(ids.value_lengths()).astype(np.uint32)
             flat = np.asarray(ids.flatten()).astype(np.int32)
             yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (hashes, sizes, flat)], ["h", "s", "i"])
 
