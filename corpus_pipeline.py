@@ -16,6 +16,8 @@ from keepline.llm.private_data import fit_spans, private_spans, redact
 from keepline.llm.quality import fit_quality, score_quality
 from keepline.session import materialize
 
+#: The stage links documents from this similarity in percent on; op5 has its own bound.
+NEAR_PERCENT = 80
 #: The lattice and word joins have no SQL counterpart, nor have fitted models.
 ORACLE_SQL = None
 
@@ -28,7 +30,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; of a row that is there twice, one."""
-    kept = near_duplicates(docs).where("kept").select(F.struct("doc_id").alias("key_")).distinct()
+    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.struct("doc_id").alias("key_")).distinct()
     rows = docs.withColumn("key_", F.struct("doc_id")).join(kept, "key_", "left_semi")
     rows = rows.withColumn("text_", F.xxhash64("text")).dropDuplicates(["key_", "text_"])
     return rows.select(*docs.columns)

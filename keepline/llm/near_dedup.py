@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,11 @@ from .components import components
 SHINGLE = 5
 #: Documents are linked from this similarity in percent on.
 PERCENT = 85
-#: Bands of ROWS minima each: a pair of similarity 0.85 shares no band with probability 2e-6.
-BANDS, ROWS = 28, 6
-#: Bits kept of each minimum, and their words of 64 bits.
+#: Bands of ROWS minima each: a pair of similarity 0.85 shares no band with probability MISS at most. Other
+#: bounds have as many bands as that takes (``bands_of``).
+BANDS, ROWS, MISS = 28, 6, 2e-6
+#: Bits kept of each minimum.
 BITS = 2
-WORDS = -(-BANDS * ROWS * BITS // 64)
 #: A pair is compared exactly unless its estimate lies this many deviations below the bound.
 DEVIATIONS = 5
 #: Buckets of at most SMALL open classes are compared pair by pair, larger ones in blocks of BLOCK
@@ -70,17 +72,36 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     return np.unique(mix64((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
 
 
-def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bands_of(percent: int) -> int:
+    """Bands that a pair of just this similarity misses with probability MISS at most."""
+    return 1 if percent >= 100 else ceil(log(MISS) / log1p(-(percent / 100) ** ROWS))
+
+
+def _words(bands: int) -> int:
+    """Words of 64 bits that hold the bits of all minima."""
+    return -(-bands * ROWS * BITS // 64)
+
+
+@lru_cache
+def _functions(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of the minima; those beyond BANDS bands do not change the first."""
+    more = np.random.default_rng(20240502).integers(0, 2**32, (max(0, bands - BANDS) * ROWS, 2), dtype=np.uint32)
+    mul, add = np.concatenate([_MUL, more[:, 0] | np.uint32(1)]), np.concatenate([_ADD, more[:, 1]])
+    return mul[:bands * ROWS], add[:bands * ROWS]
+
+
+def signature(shingles: np.ndarray, bands: int = BANDS) -> tuple[np.ndarray, np.ndarray]:
     """(band keys, low bits of all minima packed into words of 64 bits)."""
     low = (shingles >> _U(32)).astype(np.uint32)
-    minima = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    mul, add = _functions(bands)
+    minima = np.full(bands * ROWS, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(low), 1024):
-        np.minimum(minima, (low[i:i + 1024, None] * _MUL + _ADD).min(0), out=minima)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for column in minima.reshape(BANDS, ROWS).T:
+        np.minimum(minima, (low[i:i + 1024, None] * mul + add).min(0), out=minima)
+    keys = np.arange(bands, dtype=np.uint64)
+    for column in minima.reshape(bands, ROWS).T:
         keys = mix64(keys * _U(_STEP) + column)
     bits = ((minima[:, None] >> np.arange(BITS, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
-    packed = np.zeros(WORDS * 64, np.uint8)
+    packed = np.zeros(_words(bands) * 64, np.uint8)
     packed[:bits.size] = bits.ravel()
     return keys.view(np.int64), np.packbits(packed).view(np.int64)
 
@@ -92,13 +113,14 @@ def _mismatches(a: Column, b: Column) -> Column:
     return F.bit_count(x)
 
 
-def estimate(a: Column, b: Column) -> Column:
+def estimate(a: Column, b: Column, bands: int = BANDS) -> Column:
     """Similarity from the share of equal fields, corrected for equality by chance."""
-    unequal = sum((_mismatches(a[i], b[i]) for i in range(WORDS)), F.lit(0))
-    return 1 - (unequal / F.lit(BANDS * ROWS)) / F.lit(1 - 0.5**BITS)
+    unequal = sum((_mismatches(a[i], b[i]) for i in range(_words(bands))), F.lit(0))
+    return 1 - (unequal / F.lit(bands * ROWS)) / F.lit(1 - 0.5**BITS)
 
 
-def _least_estimate(percent: int, bits: int = BITS, minima: int = BANDS * ROWS) -> float:
+def _least_estimate(percent: int, bits: int = BITS, minima: int | None = None) -> float:
+    minima = minima or bands_of(percent) * ROWS
     chance = 0.5**bits
     p = chance + (1 - chance) * percent / 100
     return percent / 100 - DEVIATIONS * (p * (1 - p) / minima) ** 0.5 / (1 - chance)
@@ -114,14 +136,14 @@ def sharp_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(((minima >> np.uint32(9)) & np.uint32(1)).astype(np.uint8)).view(np.int64)
 
 
-def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, cls, keys, bits) per row; ``cls`` is a 128-bit hash of the set."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, cls, keys, bits = [], [], [], []
             for t in texts_of(batch.column(1)):
                 s = shingle_set(t)
-                k, b = signature(s) if len(s) else (None, None)
+                k, b = signature(s, bands) if len(s) else (None, None)
                 sizes.append(len(s))
                 cls.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(k)
@@ -176,7 +198,7 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     b = classes.select(F.col("cls").alias("b"), F.col("bits").alias("bb"), F.col("n_shingles").alias("nb"))
     kept = pairs.join(a, "a").join(b, "b").where(
         (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        & (estimate(F.col("ba"), F.col("bb")) >= _least_estimate(percent)))
+        & (estimate(F.col("ba"), F.col("bb"), bands_of(percent)) >= _least_estimate(percent)))
     return materialize(kept.select("a", "b"), "pairs")
 
 
@@ -246,7 +268,7 @@ def _bucket_pairs(docs: DataFrame, doc_id: str, text: str, buckets: DataFrame, c
                   & (F.col("x.comp") != F.col("y.comp")))
     near = near.where(
         (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-        & (estimate(F.col("x.bits"), F.col("y.bits")) >= _least_estimate(percent)))
+        & (estimate(F.col("x.bits"), F.col("y.bits"), bands_of(percent)) >= _least_estimate(percent)))
     near = near.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     large = rows.where(F.col("m") > SMALL)
     if large.isEmpty():
@@ -272,7 +294,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ids are ignored for the least id, and rows of a component that has only null ids keep null and
     are all kept. Repeated rows are rows of their own. Other columns are not read.
     """
-    base = materialize(sketches(docs, doc_id, text), "sketches")
+    base = materialize(sketches(docs, doc_id, text, bands_of(percent)), "sketches")
     some = base.where("cls is not null")
     classes = materialize(some.groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
