@@ -1,5 +1,6 @@
 """The queries of this subpackage and the SQL they are checked against."""
 
+from .byte_bpe import op12_byte_bpe
 from .chat import OP10_SQL, op10_chat_format
 from .decontaminate import OP4_SQL, op4_decontaminate
 from .html_text import op3_html_text
@@ -13,5 +14,6 @@ from .token_counts import op9_token_counts
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_quality, op3_html_text, op4_decontaminate, op5_minhash_dedup,
-    op6_private_data, op7_neighbours, op8_repeats, op9_token_counts, op10_chat_format)}
+    op6_private_data, op7_neighbours, op8_repeats, op9_token_counts, op10_chat_format,
+    op12_byte_bpe)}
 CHECKS = {"op4_decontaminate": OP4_SQL, "op10_chat_format": OP10_SQL}
