@@ -8,6 +8,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -290,7 +291,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
                 last = min(last, len(batch))
                 held = tokens.take(pa.array(flat[ends[first]:ends[last]]))
                 # The bytes of all taken tokens lie one behind the other.
-                stops = np.cumsum([0, *np.asarray(pa.compute.binary_length(held))])
+                stops = np.cumsum([0, *np.asarray(pc.binary_length(held))])
                 data = memoryview(held.buffers()[2] or b"") if len(held) else b""
                 at = stops[ends[first:last + 1] - ends[first]].tolist()
                 texts += [bytes(data[a:b]) for a, b in zip(at, at[1:])]

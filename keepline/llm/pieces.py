@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,17 @@ SPACE = "▁"
 #: folded one by one.
 LATTICE_CHARS = 60
 _LATE = 1 << 62
-#: Most words whose encodings are broadcast (about 27 bytes each); rarer ones are joined beyond that.
-BROADCAST_WORDS = 6_000_000
-CACHED_WORDS = 200_000
+#: Most words whose encodings are broadcast, and most bytes of them; rarer ones are joined beyond that.
+BROADCAST_WORDS, BROADCAST_BYTES = 6_000_000, 64 << 20
+#: Bytes of an encoding besides two for each id: its hash and its start.
+WORD_BYTES = 12
+CACHED_WORDS = 100_000
 #: Words of one partition of the lattice, and characters of texts that are split into words at once.
 PART_WORDS, RUN_CHARS = 40_000, 1 << 20
-#: Lists of ids that are decoded at once.
-ROWS_AT_ONCE = 200
+#: Texts of a batch that are Python strings at once.
+TEXTS_AT_ONCE = 500
+#: Ids that are decoded at once.
+IDS_AT_ONCE = 1 << 20
 
 
 class Vocabulary:
@@ -319,43 +324,73 @@ def _grouped_in_memory(spark: SparkSession) -> Iterator[None]:
 
 
 class Encodings:
-    """Encodings of many words in flat arrays: sorted 64-bit hashes of words, and their ids."""
+    """Encodings of many words in flat arrays: 64-bit hashes of words in order, where each one's ids start, and the ids."""
 
     def __init__(self, blobs: list[tuple[bytes, bytes, bytes]]):
-        hashes, sizes, ids = (np.concatenate([np.frombuffer(b[i], t) for b in blobs] or [np.empty(0, t)])
+        hashes, sizes, ids = ([np.frombuffer(b[i], t) for b in blobs] or [np.empty(0, t)]
                               for i, t in enumerate((np.uint64, np.uint32, np.int32)))
-        order = np.argsort(hashes, kind="stable")
-        starts = (np.cumsum(sizes.astype(np.int64)) - sizes)[order]
-        self.hashes, self.starts, self.sizes, self.ids = hashes[order], starts, sizes[order], ids
+        self.hashes = np.concatenate(hashes)
+        total = sum(map(len, ids))
+        # As narrow as the vocabulary and the number of ids allow.
+        self.ids = np.empty(total, np.min_scalar_type(max((int(i.max()) for i in ids if len(i)), default=0)))
+        np.concatenate(ids, out=self.ids, casting="unsafe")
+        self.starts = np.zeros(len(self.hashes) + 1, np.min_scalar_type(total))
+        np.cumsum(np.concatenate(sizes), out=self.starts[1:], dtype=self.starts.dtype)
 
     def look_up(self, words: list[str]) -> dict[str, bytes]:
-        """Raw ids of those of the words that are held."""
+        """Raw ids (32 bits each) of those of the words that are held."""
         if not len(self.hashes) or not words:
             return {}
         h = np.fromiter((_hash(w) for w in words), np.uint64, len(words))
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        hit = self.hashes[at] == h
-        return {w: self.ids[s:s + n].tobytes() for w, s, n, ok in
-                zip(words, self.starts[at].tolist(), self.sizes[at].tolist(), hit.tolist()) if ok}
+        at, words = at[hit := self.hashes[at] == h], [w for w, ok in zip(words, hit.tolist()) if ok]
+        first, sizes = self.starts[at].astype(np.int64), (self.starts[at + 1] - self.starts[at]).astype(np.int64)
+        stops = np.cumsum(sizes)
+        held = self.ids[np.repeat(first - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        raw, ends = held.astype(np.int32).tobytes(), (4 * stops).tolist()
+        return {w: raw[i:j] for w, i, j in zip(words, [0, *ends], ends)}
 
 
 def _hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)
 
 
 def _packed(words: DataFrame) -> list[tuple[bytes, bytes, bytes]]:
+    """Hashes, sizes and ids by unsigned hash: Spark sorts, the driver only joins the blocks."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1)
-            hashes = np.fromiter(map(_hash, batch.column(0).to_pylist()), np.uint64, batch.num_rows)
+            hashes = np.asarray(batch.column(0)).view(np.uint64) ^ np.uint64(1 << 63)
             sizes = np.asarray(ids.value_lengths()).astype(np.uint32)
             flat = np.asarray(ids.flatten()).astype(np.int32)
             yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (hashes, sizes, flat)], ["h", "s", "i"])
 
-    rows = words.select("word", "ids").mapInArrow(pack, "h binary, s binary, i binary").toLocalIterator()
+    # With the top bit turned, signed order is the order of the unsigned hashes.
+    turned = F.xxhash64("word").bitwiseXOR(F.lit(-(1 << 63)))
+    rows = words.select(turned.alias("h"), "ids").repartitionByRange("h").sortWithinPartitions("h")
+    rows = rows.mapInArrow(pack, "h binary, s binary, i binary").toLocalIterator()
     return [(bytes(r["h"]), bytes(r["s"]), bytes(r["i"])) for r in rows]
 
 
+def _held(encoded: DataFrame, counted: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """(words to broadcast, the rest): all, or the most frequent ones within both bounds."""
+    size = F.sum(WORD_BYTES + 2 * F.size("ids")).alias("bytes")
+    r = encoded.agg(F.count("*").alias("n"), size).first()
+    if r["n"] <= most and (r["bytes"] or 0) <= BROADCAST_BYTES:
+        return encoded, None
+    encoded = materialize(encoded.join(counted, "word"), "encoded")
+    # The count that at most that many words, or words of that size, exceed.
+    words, held, least = 0, 0, None
+    for r in encoded.groupBy("n").agg(F.count("*").alias("words"), size).orderBy(F.desc("n")).toLocalIterator():
+        words, held = words + r["words"], held + r["bytes"]
+        if words > most or held > BROADCAST_BYTES:
+            break
+        least = r["n"]
+    if least is None:
+        return encoded.limit(0), encoded
+    return encoded.where(F.col("n") >= least), encoded.where(F.col("n") < least)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kind: str = "bpe",
            broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """Add the piece ids of each text, as the model at ``path`` encodes it.
@@ -364,8 +399,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     and what follows, or a line break) are encoded by themselves, and so are the runs of a word between neighbours
     that no piece holds together: distinct runs of all texts are exploded
     into substrings of bounded length, joined to the piece table, grouped into lattices and folded (``kind``: "bpe"
-    merges, "unigram" Viterbi). Texts then look their words up: the encodings of the ``broadcast_words`` most frequent
-    words are broadcast in flat arrays (a bounded size); other words are joined by shuffle.
+    merges, "unigram" Viterbi). Texts then look their words up: the encodings of the most frequent words, at most
+    ``broadcast_words`` and ``BROADCAST_BYTES``, are broadcast in flat arrays; other words are joined by shuffle.
 
     Null and empty texts have no pieces. Repeated rows are encoded alike. A column named ``out`` is replaced,
     others pass through. Models are those without other text normalisation than the space mark.
@@ -375,22 +410,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     counted = materialize(words, "words")
     n_words = counted.count()
     encoded = encode_words(counted, path, kind, n_words)
-    if n_words <= broadcast_words:
-        with _grouped_in_memory(spark):
-            held, tail = materialize(encoded, "encoded"), None
-    else:
-        with _grouped_in_memory(spark):
-            encoded = materialize(encoded.join(counted, "word"), "encoded")
-        # The count that at most that many words exceed.
-        sizes = encoded.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator()
-        total, least = 0, None
-        for r in sizes:
-            total += r["count"]
-            if total > broadcast_words:
-                break
-            least = r["n"]
-        held = encoded.where(F.col("n") >= least) if least is not None else encoded.limit(0)
-        tail = encoded.where(F.col("n") < least) if least is not None else encoded
+    with _grouped_in_memory(spark):
+        encoded = materialize(encoded, "encoded")
+    held, tail = _held(encoded, counted, broadcast_words)
     given = spark.sparkContext.broadcast(Encodings(_packed(held)))
     known: dict[str, bytes] = {}
 
@@ -433,26 +455,67 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         v = _vocabulary(path)
-        for texts, own in batches:
-            done, tails = [], iter(own)
-            for run in byte_batches(texts_of(texts), RUN_CHARS):
-                lists, open_ = look_up(run, v)
-                for ws in lists:
-                    more = next(tails).as_py()
-                    if own_words := open_.keys() & ws:
-                        extra = {m["word"]: np.array(m["ids"], np.int32).tobytes() for m in more}
-                        extra = {w: b"".join(extra[r] if ids is None else ids for r, ids in open_[w]) for w in own_words}
-                        done.append(b"".join(extra[w] if w in extra else known[w] for w in ws))
-                    else:
-                        done.append(b"".join(map(known.__getitem__, ws)))
+
+        def ids_of(texts: list[str], tails: Iterator[pa.Scalar]) -> pa.Array:
+            lists, open_ = look_up(texts, v)
+            done = []
+            for ws in lists:
+                more = next(tails).as_py()
+                if own_words := open_.keys() & ws:
+                    extra = {m["word"]: np.array(m["ids"], np.int32).tobytes() for m in more}
+                    extra = {w: b"".join(extra[r] if ids is None else ids for r, ids in open_[w]) for w in own_words}
+                    done.append(b"".join(extra[w] if w in extra else known[w] for w in ws))
+                else:
+                    done.append(b"".join(map(known.__getitem__, ws)))
             stops = np.cumsum([0, *(len(d) // 4 for d in done)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(
-                pa.array(stops), pa.array(np.frombuffer(b"".join(done), np.int32)))
+            return pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(done), np.int32)))
+
+        for texts, own in batches:
+            tails, parts = iter(own), []
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                some = texts_of(texts.slice(at, TEXTS_AT_ONCE))
+                parts += [ids_of(run, tails) for run in byte_batches(some, RUN_CHARS)]
+            yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
 
     none = F.lit(None).cast("array<struct<word: string, ids: array<int>>>")
     return rows.withColumn(out, to_ids(F.col(text), F.col("tail_") if key else none)).drop(*key)
 
 
+class Texts:
+    """Bytes of each id: as within a text, then as in front of one, where a leading space goes; the last is empty."""
+
+    def __init__(self, v: Vocabulary):
+        n = self.n = max(v.texts, default=-1) + 1
+        inner = [v.texts.get(i, b"") for i in range(n)]
+        self.is_byte = np.zeros(2 * n + 1, bool)
+        self.is_byte[[i + k for i in v.bytes.values() for k in (0, n)]] = True
+        inner = [t if b else t.replace(SPACE.encode(), b" ") for t, b in zip(inner, self.is_byte)]
+        self.table = pa.array([*inner, *(t.removeprefix(b" ") for t in inner), b""], pa.large_binary())
+        self.filled = np.array([*map(bool, inner), *[False] * (n + 1)])
+
+    def of(self, rows: pa.Array) -> pa.Array:
+        """Text of each list of ids."""
+        some, n = rows.flatten(), self.n
+        at = (some.fill_null(2 * n) if some.null_count else some).to_numpy(zero_copy_only=False)
+        at = np.where((at >= 0) & (at < n), at, 2 * n)
+        ends = np.append(0, np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+        # The first id of a row that has a text is in front.
+        there = np.append(np.flatnonzero(self.filled[at]), len(at))
+        front = there[np.searchsorted(there, ends[:-1])]
+        at[front[front < ends[1:]]] += n
+        held = self.table.take(pa.array(at))
+        # The bytes of all taken pieces lie one behind the other.
+        stops = np.append(0, np.cumsum(pc.binary_length(held).to_numpy(zero_copy_only=False))).astype(np.int64)
+        data = held.buffers()[2] or pa.py_buffer(b"")
+        out = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(stops[ends]), data])
+        # Only bytes written one by one may form no text.
+        bytes_ = np.append(0, np.cumsum(self.is_byte[at]))[ends]
+        mixed = pa.array(np.diff(bytes_) > 0)
+        mended = [t.decode("utf-8", "replace").encode() for t in out.filter(mixed).to_pylist()]
+        out = pc.replace_with_mask(out, mixed, pa.array(mended, pa.large_binary()))
+        return out.cast(pa.large_string()).cast(pa.string())
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """Add the text of each list of ids. Null and empty lists give the empty text; control pieces give none.
 
@@ -460,25 +523,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -
     """
     @F.arrow_udf("string")
     def to_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        v = _vocabulary(path)
-        mark = SPACE.encode()
-        n = max(v.texts, default=-1) + 1
-        table = pa.array([v.texts.get(i, b"") for i in range(n)] + [b""], pa.large_binary())
+        texts = Texts(_vocabulary(path))
         for batch in batches:
-            texts = []
-            for first in range(0, len(batch), ROWS_AT_ONCE):
-                rows = batch.slice(first, ROWS_AT_ONCE)
-                some = rows.flatten()
-                some = (some.fill_null(n) if some.null_count else some).to_numpy(zero_copy_only=False)
-                ends = np.cumsum([0, *rows.value_lengths().fill_null(0).to_pylist()])
-                held = table.take(pa.array(np.where((some >= 0) & (some < n), some, n)))
-                # The bytes of all taken pieces lie one behind the other.
-                at = np.frombuffer(held.buffers()[1], np.int64)[held.offset + ends] if len(held) else 0 * ends
-                data = memoryview(held.buffers()[2]) if len(held) and held.buffers()[2] else b""
-                for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
-                    t = bytes(data[i:j]).replace(mark, b" ").decode("utf-8", "replace")
-                    texts.append(t[1:] if t.startswith(" ") else t)
-            yield pa.array(texts, pa.string())
+            sizes = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            parts, at = [pa.array([], pa.string())], 0
+            while at < len(batch):
+                before = sizes[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(sizes, before + IDS_AT_ONCE, "right")))
+                parts.append(texts.of(batch.slice(at, stop - at)))
+                at = stop
+            yield pa.concat_arrays(parts)
 
     return encoded.withColumn(out, to_text(F.col(ids)))
 
@@ -490,6 +544,5 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = decode(encode(docs, path), path, out="decoded")
     return both.select(
-        "doc_id", F.size("ids").cast("long").alias("n_pieces"),
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
         (F.col("decoded") == F.coalesce(F.replace(F.col("text"), F.lit(SPACE), F.lit(" ")), F.lit(""))).alias("same"))
