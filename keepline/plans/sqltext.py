@@ -154,7 +154,9 @@ telemetry as (select ts, case when event_id % 3 = 0 then 'GET' else 'POST' end a
   value / 1000 as latency_s,
   cast(case when event_id % 20 <> 0 then user_id % 2 end as int) as predicted_class,
   case when event_id % 20 <> 0 then
-    case when event_id % 33 = 0 then 'error' else 'success' end end as insert_status
+    case when event_id % 33 = 0 then 'error' else 'success' end end as insert_status,
+  case when event_id % 20 <> 0 then value / 2000 end as inference_s,
+  case when event_id % 20 <> 0 then value / 7000 end as sink_s
 from events)"""),
     "requests": (["customers"], """
 requests as (select kk,

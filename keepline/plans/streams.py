@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..constants import HTTP_BUCKETS
+from ..constants import HTTP_BUCKETS, INFERENCE_BUCKETS, SINK_BUCKETS
 from ..operators import cleaning as C
 from ..operators import drift as D
 from ..operators import scoring as G
@@ -18,16 +18,20 @@ from .sqltext import ctes, psi_sql, r
 FMT = "yyyy-MM-dd HH:mm:ss"
 
 
+def _raw_events(spark, d):
+    return lambda streaming: J.file_rows(spark, f"{d}/event[s].parquet", schemas.EVENTS, streaming)
+
+
 def _events(spark, d):
-    return V.telemetry_of(J.file_stream(spark, f"{d}/event[s].parquet", schemas.EVENTS))
+    return lambda streaming: V.telemetry_of(_raw_events(spark, d)(streaming))
 
 
 def _text_window(df):
     return df.withColumns({c: F.date_format(c, FMT) for c in ("window_start", "window_end")})
 
 
-def _out(stream, name):
-    return _text_window(J.drain(stream, name))
+def _out(source, job, name, size="1 hour"):
+    return _text_window(J.drain_all(source, job, name, size))
 
 
 def _w(expr):
@@ -35,43 +39,61 @@ def _w(expr):
 
 
 def _hourly(keys, figures, source="telemetry", where="true"):
-    """Closed one-hour windows of a view."""
+    """One-hour windows of a view."""
     k = "".join(f"{x}, " for x in keys)
     return f"""select {_w("time_bucket(interval 1 hour, ts)")} as window_start,
   {_w("time_bucket(interval 1 hour, ts) + interval 1 hour")} as window_end, {k}{figures}
 from {source} where {where}
-group by {k}time_bucket(interval 1 hour, ts)
-having time_bucket(interval 1 hour, ts) + interval 1 hour
-  <= (select max(ts) from {source} where {where}) - interval 10 minute"""
+group by {k}time_bucket(interval 1 hour, ts)"""
 
 
 @query(ctes("telemetry") + _hourly(["method", "path", "status_code"], "count(*) as n"))
 def request_counts(spark, d):
-    return _out(Y.request_counts(_events(spark, d)), "request-counts")
+    return _out(_events(spark, d), Y.request_counts, "request-counts")
 
 
 @query(ctes("telemetry") + _hourly(["path", "predicted_class"], "count(*) as n",
                                    where="predicted_class is not null"))
 def predicted_class_counts(spark, d):
-    return _out(Y.predicted_class_counts(_events(spark, d)), "class-counts")
+    return _out(_events(spark, d), Y.predicted_class_counts, "class-counts")
 
 
 @query(ctes("telemetry") + _hourly(["insert_status"], "count(*) as n",
                                    where="insert_status is not null"))
 def sink_status_counts(spark, d):
-    return _out(Y.sink_status_counts(_events(spark, d)), "sink-counts")
+    return _out(_events(spark, d), Y.sink_status_counts, "sink-counts")
+
+
+def _bounds(buckets):
+    return ", ".join(f"cast({b} as double)" for b in buckets)
 
 
-_LE = ", ".join(f"cast({b} as double)" for b in HTTP_BUCKETS)
+_LE = _bounds(HTTP_BUCKETS)
 
 
-@query(ctes("telemetry") + f""", h_ as ({_hourly(["method", "path"], '''sum(latency_s) as s,
-  count(*) as latency_count, list(latency_s) as vs''')})
-select window_start, window_end, method, path, {r('s')} as latency_sum, latency_count,
+def _histogram(keys, buckets, value):
+    """Cumulative counts per bound of one-hour windows."""
+    k = "".join(f"{x}, " for x in keys)
+    return ctes("telemetry") + f""", h_ as ({_hourly(keys, f'''sum({value}) as s,
+  count(*) as latency_count, list({value}) as vs''', where=f"{value} is not null")})
+select window_start, window_end, {k}{r('s')} as latency_sum, latency_count,
   bound, cast(len(list_filter(vs, lambda x: x <= bound)) as bigint) as n
-from h_, (select unnest([{_LE}]) as bound)""")
+from h_, (select unnest([{_bounds(buckets)}]) as bound)"""
+
+
+@query(_histogram(["method", "path"], HTTP_BUCKETS, "latency_s"))
 def latency_histogram(spark, d):
-    return Y.histogram_rows(_out(Y.latency_histogram(_events(spark, d)), "latency"))
+    return Y.histogram_rows(_out(_events(spark, d), Y.latency_histogram, "latency"))
+
+
+@query(_histogram([], INFERENCE_BUCKETS, "inference_s"))
+def inference_histogram(spark, d):
+    return Y.histogram_rows(_out(_events(spark, d), Y.inference_histogram, "inference"), INFERENCE_BUCKETS)
+
+
+@query(_histogram(["insert_status"], SINK_BUCKETS, "sink_s"))
+def sink_histogram(spark, d):
+    return Y.histogram_rows(_out(_events(spark, d), Y.sink_histogram, "sink-times"), SINK_BUCKETS)
 
 
 def _quantile(q):
@@ -88,9 +110,7 @@ _WINDOW10 = "time_bucket(interval 10 minute, ts)"
 @query(ctes("telemetry") + f""", h_ as (select {_WINDOW10} as w, path, sum(latency_s) as s,
     count(*) as latency_count, [{", ".join(
         f"count(*) filter (latency_s <= {b})" for b in HTTP_BUCKETS)}] as le
-  from telemetry group by {_WINDOW10}, path
-  having {_WINDOW10} + interval 10 minute
-    <= (select max(ts) from telemetry) - interval 10 minute),
+  from telemetry group by {_WINDOW10}, path),
 x_ as (select *, [cast(0.0 as double), {_LE}] as b, list_prepend(0, le) as c,
     {", ".join(f"len(list_filter(le, lambda c: c < {q} * latency_count)) as i{q:.2f}".replace(
         "i0.", "i0_") for q in (0.5, 0.95, 0.99))} from h_),
@@ -100,20 +120,20 @@ select {_w('w')} as window_start, {_w('w + interval 10 minute')} as window_end,
   {r('s')} as latency_sum, latency_count, {r('p50')} as p50, {r('p95')} as p95,
   {r('p99')} as p99, cast(coalesce(p95 > 0.3, false) as int) as alert from y_""")
 def latency_quantiles(spark, d):
-    return _out(Y.latency_quantiles(_events(spark, d), keys=("path",)), "latency-quantiles")
+    return _out(_events(spark, d), lambda df: Y.latency_quantiles(df, keys=("path",)),
+                "latency-quantiles", "10 minutes")
 
 
 @query(ctes("telemetry") + f""", s_ as (
   select date_trunc('minute', ts) - to_minutes(cast(i as int)) as w, status_code
   from telemetry, (select unnest(range(10)) as i)),
 g_ as (select w, count(*) as n, count(*) filter (status_code between 500 and 599) as n_5xx,
-    count(*) filter (status_code between 400 and 499) as n_4xx from s_ group by w
-  having w + interval 10 minute <= (select max(ts) from telemetry) - interval 10 minute)
+    count(*) filter (status_code between 400 and 499) as n_4xx from s_ group by w)
 select {_w('w')} as window_start, {_w('w + interval 10 minute')} as window_end, n, n_5xx, n_4xx,
   {r('n_5xx / cast(n as double)')} as rate_5xx, {r('n_4xx / cast(n as double)')} as rate_4xx,
   cast(n_5xx / cast(n as double) > 0.01 as int) as alert from g_""")
 def error_rate(spark, d):
-    return _out(Y.error_rate(_events(spark, d)), "error-rate")
+    return _out(_events(spark, d), Y.error_rate, "error-rate", "10 minutes")
 
 
 def _checked_of(events):
@@ -134,8 +154,8 @@ def _checked_of(events):
   {r('avg(cast(not value between 0 and 20 as int))')} as rejected_rate,
   {r('avg(cast(event_id % 7 = 0 as int))')} as coerced_null_rate""", "t_"))
 def invalid_input_rate(spark, d):
-    events = J.file_stream(spark, f"{d}/event[s].parquet", schemas.EVENTS)
-    return _out(Y.invalid_input_rate(_checked_of(events)), "invalid-input")
+    events = _raw_events(spark, d)
+    return _out(lambda streaming: _checked_of(events(streaming)), Y.invalid_input_rate, "invalid-input")
 
 
 @query(f"""with q_ as (select o_orderkey, o_custkey % 73 as tenure,
@@ -167,9 +187,7 @@ def stream_score(spark, d):
 
 _DAYS = """select strftime(date_trunc('day', o_orderdate) - to_days(cast(i as int)), '%Y-%m-%d')
     as window_start, 'o_totalprice' as feature, o_totalprice as value
-  from orders, (select unnest(range(7)) as i)
-  where date_trunc('day', o_orderdate) - to_days(cast(i as int)) + interval 7 day
-    <= (select max(o_orderdate) from orders) - interval 1 day"""
+  from orders, (select unnest(range(7)) as i)"""
 
 
 @query("with " + psi_sql(_OLD, _DAYS, by="window_start") + f"""
@@ -177,9 +195,13 @@ select window_start, feature, {r('psi')} as psi, dropped from psi_""")
 def stream_drift(spark, d):
     expected, _ = _prices(spark, d)
     edges = D.baseline_edges(expected)
-    log = J.file_stream(spark, f"{d}/order[s].parquet", schemas.ORDERS).select(
-        F.col("o_orderdate").cast("timestamp").alias("created_at"), "o_totalprice")
-    counts = J.drain(J.windowed_bin_counts(log, edges, ["o_totalprice"]), "drift-counts")
+
+    def log(streaming):
+        return J.file_rows(spark, f"{d}/order[s].parquet", schemas.ORDERS, streaming).select(
+            F.col("o_orderdate").cast("timestamp").alias("created_at"), "o_totalprice")
+
+    counts = J.drain_all(log, lambda df: J.windowed_bin_counts(df, edges, ["o_totalprice"]),
+                         "drift-counts", "7 days", "created_at")
     report = J.stream_drift(counts, edges, D.bin_counts(expected, edges))
     return report.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"),
                          "feature", "psi", "dropped")

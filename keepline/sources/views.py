@@ -231,6 +231,8 @@ def telemetry_of(events: DataFrame) -> DataFrame:
         F.when(eid % 20 != 0, (F.col("user_id") % 2).cast("int")).alias("predicted_class"),
         F.when(eid % 20 != 0, F.when(eid % 33 == 0, "error").otherwise("success"))
         .alias("insert_status"),
+        F.when(eid % 20 != 0, F.col("value") / 2000).alias("inference_s"),
+        F.when(eid % 20 != 0, F.col("value") / 7000).alias("sink_s"),
     )
 
 

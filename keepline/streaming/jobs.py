@@ -25,6 +25,11 @@ def file_stream(spark: SparkSession, path: str, schema: StructType,
     return reader.parquet(path)
 
 
+def file_rows(spark: SparkSession, path: str, schema: StructType, streaming: bool) -> DataFrame:
+    """The same files as a stream or as a table."""
+    return file_stream(spark, path, schema) if streaming else spark.read.schema(schema).parquet(path)
+
+
 def append_closed_windows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write each window once, after the watermark has passed its end."""
     return (stream.writeStream.outputMode("append").format("parquet")
@@ -41,6 +46,35 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def rows_of_open_windows(rows: DataFrame, written: DataFrame, size: str, ts: str = "ts"
+                         ) -> tuple[DataFrame, str | None]:
+    """Rows of a table that can lie in a window which ends after the last written one, and the
+    end of that one as text; all rows where nothing was written."""
+    last = written.agg(F.date_format(F.max("window_end"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    if last is None:
+        return rows, None
+    since = F.lit(last).cast("timestamp") - F.expr(f"interval {size}")
+    return rows.where(F.col(ts).cast("timestamp") >= since), last
+
+
+def drain_all(source: Callable[[bool], DataFrame], job: Callable[[DataFrame], DataFrame], name: str,
+              size: str, ts: str = "ts") -> DataFrame:
+    """Windows of a whole finished input: those the watermark has closed come from the stream,
+    those still open at its end from one pass of the same job over their own rows.
+
+    ``source(True)`` gives the input as a stream, ``source(False)`` as a table; ``job`` takes
+    either. The watermark closes a window for all keys at once, so the open ones are exactly those
+    that end later than the last one written. Their rows are found by time, so the pass reads one
+    window's length before that, whatever the length of the input.
+    """
+    written = drain(job(source(True)), name)
+    rows, last = rows_of_open_windows(source(False), written, size, ts)
+    open_ = job(rows)
+    if last is not None:
+        open_ = open_.where(F.col("window_end") > F.lit(last).cast("timestamp"))
+    return written.unionByName(open_)
+
+
 def stream_score(requests: DataFrame, score: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
                  log_path: str, rejected_path: str, checkpoint: str) -> StreamingQuery:
     """Score incoming requests into the prediction log; rejected ones go to their own table.

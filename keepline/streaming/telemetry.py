@@ -7,7 +7,7 @@ watermark, so closed windows are emitted once and their state is dropped.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import HTTP_BUCKETS
+from ..constants import HTTP_BUCKETS, INFERENCE_BUCKETS, SINK_BUCKETS
 from ..functions.expressions import ratio
 
 DELAY = "10 minutes"
@@ -56,6 +56,18 @@ def latency_histogram(df: DataFrame, buckets=HTTP_BUCKETS, keys=("method", "path
     return _flat(agg)
 
 
+def inference_histogram(df: DataFrame, **kw) -> DataFrame:
+    """Time the model took, over all scored requests of a window."""
+    return latency_histogram(df.where(F.col("inference_s").isNotNull()), INFERENCE_BUCKETS, (),
+                             "inference_s", **kw)
+
+
+def sink_histogram(df: DataFrame, **kw) -> DataFrame:
+    """Time the prediction log took to store a record, by outcome."""
+    return latency_histogram(df.where(F.col("sink_s").isNotNull()), SINK_BUCKETS, ("insert_status",),
+                             "sink_s", **kw)
+
+
 def histogram_rows(histogram: DataFrame, buckets=HTTP_BUCKETS) -> DataFrame:
     """One row per bound: ``bound, n``."""
     bounds = F.array(*[F.lit(float(b)) for b in buckets])

@@ -103,6 +103,35 @@ def test_stream_equals_batch_on_closed_windows(spark, stream, job):
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
 
 
+@pytest.mark.parametrize("job,size", [
+    (Y.predicted_class_counts, "1 hour"), (Y.error_rate, "10 minutes"), (Y.sink_histogram, "1 hour")])
+def test_drained_input_equals_batch_for_all_windows(spark, job, size):
+    def source(streaming):
+        return V.telemetry_of(J.file_rows(spark, f"{SMALL}/event[s].parquet", schemas.EVENTS, streaming))
+
+    got, want = J.drain_all(source, job, "test-all", size), job(source(False))
+    cols = [c for c in got.columns if c != "latency_sum"]
+    assert got.count() == want.count() > 0
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def test_drained_short_input_has_only_open_windows(spark):
+    path = scratch_path(spark, "short")
+    spark.range(30).select(F.timestamp_seconds("id").alias("ts")).write.parquet(path)
+
+    def source(streaming):
+        return J.file_rows(spark, path, spark.read.parquet(path).schema, streaming)
+
+    def job(df):
+        timed = df.withWatermark("ts", "1 minute") if df.isStreaming else df
+        w = F.window("ts", "20 seconds")
+        return timed.groupBy(w.alias("w")).count().select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "count")
+
+    rows = J.drain_all(source, job, "test-short", "20 seconds").collect()
+    assert sorted(r["count"] for r in rows) == [10, 20]
+
+
 def test_bucket_quantiles(spark):
     df = spark.createDataFrame([(t, 0.001 * v) for t, v in enumerate(range(1, 101))],
                                "t int, latency_s double").withColumn(
