@@ -74,9 +74,10 @@ def _merged(parts: DataFrame, name: str) -> DataFrame:
     def add(rows: pa.Table) -> pa.Table:
         high, low = (np.stack(rows[c].to_pylist()).sum(axis=0, dtype=np.int64) for c in ("high", "low"))
         high, low = high + (low >> 32), low & 0xFFFFFFFF
-        return pa.table([rows["row"][:1], rows["part"][:1], pa.array([high]), pa.array([low])], parts.columns)
+        return pa.table([rows["row"][:1], rows["part"][:1], pa.array([high]), pa.array([low])], names)
 
-    parts = materialize(parts, name)
+    names = ["row", "part", "high", "low"]
+    parts = materialize(parts.select(*names), name)
     while (parts.agg(F.max("part")).first()[0] or 0) > 0:
         groups = parts.withColumn("part", F.expr(f"part div {FAN_IN}")).groupBy("row", "part")
         parts = materialize(groups.applyInArrow(add, parts.schema), name)

@@ -80,6 +80,26 @@ def test_awkward_vectors(spark, monkeypatch, scale, fan_in):
     assert whitening.whiten(frame, model).where("x is null and whitened is null").count() == 5
 
 
+def test_parts_are_merged_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN_IN", 3)
+    rows = [(i, p, [1 << 33, -p], [0xFFFFFFFF, i]) for i in range(2) for p in range(20)]
+    parts = spark.createDataFrame(rows, "row long, part long, high array<long>, low array<long>")
+    for r in whitening._merged(parts, "parts").collect():
+        total = [(h << 32) + lo for h, lo in zip(r["high"], r["low"])]
+        assert total == [20 * ((1 << 65) + 0xFFFFFFFF), (-190 << 32) + 20 * r["row"]]
+
+
+def test_many_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 5)) * [5, 4, 3, 2, 1])]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = frame_of(spark, rows)
+        check(result(frame, whitening.fit_whitening(frame)), rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_few_vectors(spark):
     none = frame_of(spark, [(1, None)])
     model = whitening.fit_whitening(none)
