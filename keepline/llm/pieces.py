@@ -29,8 +29,8 @@ WORD_BYTES = 12
 CACHED_WORDS = 100_000
 #: Words of one partition of the lattice, and characters of texts that are split into words at once.
 PART_WORDS, RUN_CHARS = 40_000, 1 << 20
-#: Texts of a batch that are Python strings at once.
-TEXTS_AT_ONCE = 500
+#: Texts of a batch that are Python strings at once, and distinct words that a task counts before it passes them on.
+TEXTS_AT_ONCE, COUNTED_WORDS = 500, 120_000
 #: Ids that are decoded at once.
 IDS_AT_ONCE = 1 << 20
 
@@ -299,10 +299,11 @@ def distinct_words(docs: DataFrame, path: str, text: str) -> DataFrame:
                                    ["word", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                for w in v.words(t):
-                    seen[w] = seen.get(w, 0) + 1
-                if len(seen) > 400_000:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                for t in batch.column(0).slice(at, TEXTS_AT_ONCE).to_pylist():
+                    for w in v.words(t):
+                        seen[w] = seen.get(w, 0) + 1
+                if len(seen) > COUNTED_WORDS:
                     yield out()
                     seen.clear()
         yield out()
