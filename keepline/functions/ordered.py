@@ -157,3 +157,13 @@ def one_row(df: DataFrame, name: str, value: str, columns) -> DataFrame:
     fields = ", ".join(
         f"max(case when `{name}` = {quoted(c)} then `{value}` end) as `{c}`" for c in columns)
     return df.agg(F.expr(f"struct({fields})").alias("s"))
+
+
+def numbered(df: DataFrame, order: str, keys=()) -> DataFrame:
+    """Add ``_number``, 1, 2, ... by ascending ``order`` within ``keys``; equal values follow a
+    hash of the row. Rows are ranked in value ranges, not in one task per group."""
+    columns = df.columns
+    tagged = df.withColumns({"_at": F.struct(F.col(order).alias("v"), F.xxhash64(*columns).alias("h")),
+                             "_one": F.lit(1).cast("long")})
+    return running_sums(tagged, list(keys), "_at", ["_one"]).select(
+        *columns, F.col("cum__one").alias("_number"))

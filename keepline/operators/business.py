@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import count_edges, literal_edges
-from ..functions.ordered import running_sums
+from ..functions.ordered import range_count, running_sums, sample_edges
 from .metrics import P, Y, confusion_counts, recall_from_confusion, summarize_folds
 
 
@@ -126,22 +126,41 @@ def net_value_at_topk(df: DataFrame, topk: float, by=(), row_id: str = "row_id",
     """Treat the ``max(ceil(n * topk), 1)`` highest scores of each group.
 
     Equal scores are taken by ascending ``row_id``. The cost of missed customers is left
-    out here, unlike in threshold mode.
+    out here, unlike in threshold mode. Rows are counted by range of scores first; only those of
+    the range that the last treated row lies in are ordered.
     """
     if not 0 < topk <= 1:
         raise ValueError("topk must lie in (0, 1]")
     rows = df.select(
-        *by, F.struct((-F.col(p).cast("double")).alias("s"), F.col(row_id).alias("id"))
-        .alias("_order"),
-        (F.col(y) == 1).cast("long").alias("pos"), F.lit(1).cast("long").alias("one"))
-    ranked = running_sums(rows, by, "_order", ["one"])
-    treated = F.col("cum_one") <= F.greatest(
-        F.ceil(F.col("total_one") * F.lit(float(topk))), F.lit(1))
-    pos = F.col("pos") == 1
-    counts = ranked.groupBy(*by).agg(
-        F.count_if(treated).alias("k"),
-        F.count_if(~pos & ~treated).alias("tn"), F.count_if(~pos & treated).alias("fp"),
-        F.count_if(pos & ~treated).alias("fn"), F.count_if(pos & treated).alias("tp"))
+        F.struct(*by, F.lit(0).alias("_")).alias("_group"),
+        (-F.col(p).cast("double")).alias("_score"), F.col(row_id).alias("_id"),
+        (F.col(y) == 1).cast("long").alias("pos"), (F.col(y) != 1).cast("long").alias("neg"),
+        F.lit(1).cast("long").alias("one"))
+    slots = range_count(rows, None)
+    rows = rows.withColumn("_edges", sample_edges(rows.where(F.col("_score").isNotNull()).select(
+        "_score", "_id"), "_score", slots).scalar())
+    rows = rows.withColumn("_range", F.coalesce(count_edges("_score", "_edges", slots), F.lit(-1))).drop("_edges")
+    # Rows and both classes per range of scores, best first, and those of the better ranges.
+    sums = rows.groupBy("_group", "_range").agg(*(F.sum(c).alias(c) for c in ("one", "pos", "neg")))
+    group = W.partitionBy("_group")
+    better = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    cut = sums.withColumns({f"total_{c}": F.sum(c).over(group) for c in ("one", "pos", "neg")}).withColumns(
+        {f"better_{c}": F.coalesce(F.sum(c).over(better), F.lit(0)) for c in ("one", "pos", "neg")}).withColumn(
+        "k", F.greatest(F.ceil(F.col("total_one") * F.lit(float(topk))), F.lit(1)))
+    left = F.col("k") - F.col("better_one")
+    cut = cut.where((left > 0) & (left <= F.col("one")))
+    # Only the rows of the range that holds the last treated row are put in order.
+    inside = rows.join(cut.select("_group", "_range", left.alias("left")), ["_group", "_range"]).select(
+        "_group", "left", F.struct(F.col("_score").alias("s"), F.col("_id").alias("id")).alias("_order"),
+        "pos", "neg", "one")
+    taken = running_sums(inside, ["_group"], "_order", ["one"]).where(F.col("cum_one") <= F.col("left"))
+    taken = taken.groupBy("_group").agg(F.sum("pos").alias("tp_"), F.sum("neg").alias("fp_"))
+    tp = F.coalesce("better_pos", F.lit(0)) + F.coalesce("tp_", F.lit(0))
+    fp = F.coalesce("better_neg", F.lit(0)) + F.coalesce("fp_", F.lit(0))
+    counts = cut.join(taken, "_group").select(
+        *[F.col(f"_group.{c}").alias(c) for c in by], "k",
+        (F.coalesce("total_neg", F.lit(0)) - fp).alias("tn"), fp.alias("fp"),
+        (F.coalesce("total_pos", F.lit(0)) - tp).alias("fn"), tp.alias("tp"))
     action_cost = F.col("fp") * scenario.cost_fp
     return counts.withColumn("topk", F.lit(float(topk))).withColumn(
         "net_value", net_value(scenario, count_fn=False)).withColumn(

@@ -11,7 +11,7 @@ from ..constants import (
     DRIFT_FEATURES, DRIFT_MIN_ROWS, PSI_BINS, PSI_CRITICAL, PSI_WARNING,
 )
 from ..functions.expressions import left_closed_bin, ratio
-from ..functions.ordered import exact_quantiles, long_format, running_sums
+from ..functions.ordered import exact_quantiles, long_format, numbered, running_sums
 from .cleaning import coerce_numeric
 
 
@@ -24,16 +24,22 @@ def baseline_edges(expected: DataFrame, n_bins: int = PSI_BINS) -> DataFrame:
 def bin_counts(long: DataFrame, edges: DataFrame, n_bins: int = PSI_BINS, by=()) -> DataFrame:
     """``by..., feature, bin, n``; bin is NULL for values outside the edges.
 
-    ``edges`` has one short row per feature, so sending it to all tasks is bounded by the
-    number of features.
+    ``edges`` has one short row per feature: it reaches the rows as one map, without a join.
     """
     known = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    binned = known.join(F.broadcast(edges), "feature")
-    return binned.groupBy(*by, "feature",
-                          left_closed_bin("value", "edges", n_bins + 1).alias("bin")).agg(
+    binned = known.withColumn("edges", F.try_element_at(_by_feature(edges, "edges"), "feature"))
+    return binned.where("edges is not null").groupBy(
+        *by, "feature", left_closed_bin("value", "edges", n_bins + 1).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
+def _by_feature(table: DataFrame, *columns: str):
+    """One map from feature to the column, or to a struct of the columns, of a table with a
+    short row per feature. A literal feature stays no reason for a nested-loop join."""
+    value = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    return table.agg(F.map_from_entries(F.collect_list(F.struct(F.col("feature"), value)))).scalar()
+
+
 def _bins_map(counts: DataFrame, by=(), name: str = "c") -> DataFrame:
     """One row per group with its bin counts as a map, the counted rows and the dropped."""
     inside = F.col("bin").isNotNull()
@@ -65,9 +71,18 @@ def psi_from_counts(edges: DataFrame, expected: DataFrame, actual: DataFrame, by
     NULL when a side has no values, 0 with fewer than three edges. ``dropped`` counts the
     actual values outside the baseline range.
     """
-    # the same short edge table as in the counts, so its broadcast is shared with them
-    base = _bins_map(expected, (), "e").join(F.broadcast(edges), "feature")
-    both = base.join(_bins_map(actual, by, "a"), "feature", "inner" if by else "left")
+    actual = _bins_map(actual, by, "a")
+    given = _by_feature(_bins_map(expected, (), "e"), "e", "e_inside")
+    if by:
+        both = actual.withColumn("_g", F.try_element_at(given, "feature")).withColumn(
+            "edges", F.try_element_at(_by_feature(edges, "edges"), "feature")).where(
+            "_g is not null and edges is not null")
+        both = both.select(*by, "feature", "edges", "_g.*", "a", "a_inside", "a_rows")
+    else:
+        found = _by_feature(actual, "a", "a_inside", "a_rows")
+        both = edges.withColumn("_g", F.try_element_at(given, "feature")).where("_g is not null")
+        both = both.withColumn("_a", F.try_element_at(found, "feature")).select(
+            "feature", "edges", "_g.*", "_a.*")
     value = _index_sum(F.col("edges"), F.size("edges"), F.col("e"), F.col("e_inside"),
                        F.col("a"), F.col("a_inside"))
     return both.select(
@@ -132,11 +147,16 @@ def sustained_drift(history: DataFrame, order: str = "computed_at", by=(),
                     limit: float = PSI_CRITICAL, times: int = 3) -> DataFrame:
     """Add ``retrain``: 1 when the index exceeded the limit in ``times`` runs in a row.
 
-    The history has one row per executed drift job.
+    Runs are numbered over value ranges; each then counts towards its own and the next
+    ``times`` - 1 numbers, so a history of any length is in no single task.
     """
-    last = W.partitionBy(*(by or [F.lit(0)])).orderBy(order).rowsBetween(-(times - 1), 0)
-    enough = (F.count("max_psi").over(last) == times) & (F.min("max_psi").over(last) > limit)
-    return history.withColumn("retrain", F.coalesce(enough, F.lit(False)).cast("int"))
+    rows, keys = numbered(history, order, by), [*by, "_number"]
+    towards = rows.select(*by, F.explode(F.sequence("_number", F.col("_number") + times - 1)).alias(
+        "_number"), "max_psi")
+    seen = towards.groupBy(*keys).agg(F.count("max_psi").alias("_n"), F.min("max_psi").alias("_least"))
+    enough = (F.col("_n") == times) & (F.col("_least") > limit)
+    return rows.join(seen, keys).select(
+        *history.columns, F.coalesce(enough, F.lit(False)).cast("int").alias("retrain"))
 
 
 def ks_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -4,12 +4,22 @@ Everything starts from the score table: positives and negatives per distinct sco
 aggregate is the only full shuffle; the ordered part runs on it in balanced ranges.
 """
 
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.expressions import hash_unit, ratio
+from ..functions.expressions import ratio, seeded_hash
 from ..functions.ordered import running_sums
+from ..session import materialize
 
 Y, P = "y_true", "y_proba"
 
@@ -140,27 +150,172 @@ def summarize_folds(df: DataFrame, value: str, by=()) -> DataFrame:
         F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def poisson_weight(u):
-    """Poisson(1) draw for a uniform number by its distribution function, up to 9."""
-    draw, tail = F.lit(0), 0.0
-    mass = 0.36787944117144233
-    for k in range(1, 10):
-        tail += mass
-        draw = F.when(u >= tail, k).otherwise(draw)
-        mass /= k
-    return draw
+def poisson_steps() -> list[float]:
+    """Distribution function of Poisson(1) at 0, 1, 2, ..., up to the last value below 1."""
+    steps, mass, total = [], math.exp(-1), 0.0
+    while total + mass < 1 and mass > 2.0**-54:
+        total += mass
+        steps.append(total)
+        mass /= len(steps)
+    return steps
 
 
 def bootstrap_weights(df: DataFrame, row_id: str, n_bootstrap: int, seed: int) -> DataFrame:
     """Each row once per replicate with a positive resampling weight.
 
-    The rows multiply here, so they are first spread over all shuffle partitions: a small
-    or lopsided input would otherwise multiply inside a few tasks.
+    The rows multiply here, so they are first spread over all shuffle partitions. Only the step-wise area needs
+    this form: its terms depend on the weights of all higher scores.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draws = df.repartition(width, row_id).withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
-    return draws.withColumn("weight", poisson_weight(hash_unit(seed, "replicate", row_id))) \
-        .where(F.col("weight") > 0)
+    text, replicate = seeded_hash(seed, row_id), F.col("replicate").cast("long")
+    half = lambda at: F.conv(F.substring(text, at, 8), 16, 10).cast("long")
+    u = (half(1) + replicate * half(9)).bitwiseAND(F.lit(0xFFFFFFFF)) / F.lit(2.0**32)
+    steps = F.array(*map(F.lit, poisson_steps()))
+    return draws.withColumn("weight", F.size(F.filter(steps, lambda c: c <= u))).where(F.col("weight") > 0)
+
+
+def _draws(h1: np.ndarray, h2: np.ndarray, replicates: np.ndarray) -> np.ndarray:
+    """Poisson(1) weights of rows (down) in replicates (across): the row's two hashes give the uniform number
+    (h1 + replicate * h2) mod 2^32, so a replicate's draws are independent and any task draws the same."""
+    u = (h1[:, None] + replicates[None, :] * h2[:, None]) & 0xFFFFFFFF
+    return np.searchsorted(poisson_steps(), u / 2.0**32, side="right")
+
+
+def _hashed_rows(df: DataFrame, row_id: str, seed: int, *columns) -> DataFrame:
+    """The columns with two 32-bit hashes of the row id."""
+    text = seeded_hash(seed, row_id)
+    half = lambda at: F.conv(F.substring(text, at, 8), 16, 10).cast("long")
+    return df.select(*columns, half(1).alias("h1"), half(9).alias("h2"))
+
+
+def _resampled_counts(df: DataFrame, row_id: str, n: int, seed: int, by, hit, pos) -> DataFrame:
+    """``by..., replicate, tn, fp, fn, tp``: every task sums its rows' weights for all replicates, so the shuffle has a
+    row per task, group and replicate."""
+    by = list(by)
+    rows = _hashed_rows(df, row_id, seed, *by, pos.cast("int").alias("_pos"), hit.cast("int").alias("_hit"))
+    names = ["tn", "fp", "fn", "tp"]
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for key, part in frame.groupby(by, dropna=False, sort=False) if by else [((), frame)]:
+                cell = (2 * part["_pos"] + part["_hit"]).to_numpy()
+                h1, h2 = part["h1"].to_numpy(np.int64), part["h2"].to_numpy(np.int64)
+                sums = np.concatenate([np.stack([
+                    (w * (cell == c)[:, None]).sum(axis=0) for c in range(4)], axis=1) for w in (
+                        _draws(h1, h2, np.arange(i, min(i + 100, n))) for i in range(0, n, 100))])
+                out = pd.DataFrame(sums.astype(np.int64), columns=names)
+                out.insert(0, "replicate", np.arange(n, dtype=np.int32))
+                for i, c in enumerate(by):
+                    out.insert(i, c, [part[c].iloc[0]] * n)
+                yield out
+
+    kinds = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*by).schema), "replicate int",
+             *(f"{c} long" for c in names)]
+    return rows.mapInPandas(count, ", ".join(kinds)).groupBy(*by, "replicate").agg(*(F.sum(c).alias(c) for c in names))
+
+
+class _Ranked:
+    """Sums of a run of rows in score order, for all replicates: positives, negatives, pairs won (ties half), and the
+    same two sums of its first and last score, so that neighbouring runs can be put together."""
+
+    def __init__(self, score: np.ndarray, pos: np.ndarray, weights: np.ndarray):
+        last = np.append(score[1:] != score[:-1], True)
+        at = np.flatnonzero(last)
+        p, q = (np.add.reduceat(weights * m[:, None], np.append(0, at[:-1] + 1)).astype(np.float64) for m in (pos, 1 - pos))
+        below = np.cumsum(q, axis=0) - q
+        self.first, self.last = float(score[0]), float(score[-1])
+        self.sums = np.stack([p.sum(axis=0), q.sum(axis=0), (p * (below + q / 2)).sum(axis=0)])
+        self.ends = np.stack([p[0], q[0], p[-1], q[-1]])
+
+    def then(self, other: _Ranked) -> _Ranked:
+        """This run followed by one of scores that are not smaller."""
+        out = object.__new__(_Ranked)
+        out.first, out.last = self.first, other.last
+        won = other.sums[0] * self.sums[1]
+        mine, theirs = self.ends.copy(), other.ends.copy()
+        if self.last == other.first:
+            won = won + (self.ends[2] * other.ends[1] - other.ends[0] * self.ends[3]) / 2
+            if self.first == self.last:
+                mine[:2] += other.ends[:2]
+            if other.first == other.last:
+                theirs[2:] += self.ends[2:]
+        out.sums = self.sums + other.sums
+        out.sums[2] += won
+        out.ends = np.concatenate([mine[:2], theirs[2:]])
+        return out
+
+    def packed(self) -> tuple[float, float, bytes]:
+        return self.first, self.last, np.concatenate([self.sums, self.ends]).tobytes()
+
+    @classmethod
+    def unpacked(cls, first: float, last: float, data: bytes) -> _Ranked:
+        out, rows = object.__new__(cls), np.frombuffer(data).reshape(7, -1)
+        out.first, out.last, out.sums, out.ends = first, last, rows[:3], rows[3:]
+        return out
+
+
+#: Runs that one task puts together.
+_RUNS = 64
+
+
+def _resampled_auc(df: DataFrame, row_id: str, n: int, seed: int, by, y: str, p: str) -> DataFrame:
+    """``by..., replicate, value, both``: rows are sorted over all partitions once; each task folds its rows into one run
+    per group, whose sums for all replicates are put together in rounds. The shuffle is the rows and a run per task."""
+    by = list(by)
+    # A group is a struct, so that null groups keep together; scores that are no number are left out, as elsewhere.
+    rows = _hashed_rows(df.where(F.col(p).isNotNull() & ~F.isnan(p) & F.col(y).isNotNull()), row_id, seed,
+                        F.to_json(F.struct(*by), {"ignoreNullFields": "false"}).alias("g") if by else F.lit("").alias("g"),
+                        F.col(p).cast("double").alias("s"), (F.col(y) == 1).cast("int").alias("pos"))
+    rows = rows.repartitionByRange("g", "s", "h1", "h2").sortWithinPartitions("g", "s")
+    names = ["g", "part", "first", "last", "v"]
+    schema = "g string, part long, first double, last double, v binary"
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, held = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            g, s, pos, h1, h2 = (batch.column(c) for c in ("g", "s", "pos", "h1", "h2"))
+            s, pos, h1, h2 = (c.to_numpy(zero_copy_only=False) for c in (s, pos, h1, h2))
+            code = pa.array(g).dictionary_encode()
+            index = np.asarray(code.indices)
+            for at in range(0, len(s), 2000):
+                for k in np.unique(index[at:at + 2000]):
+                    own = at + np.flatnonzero(index[at:at + 2000] == k)
+                    weights = _draws(h1[own], h2[own], np.arange(n))
+                    run, key = _Ranked(s[own], pos[own], weights), code.dictionary[int(k)].as_py()
+                    held[key] = held[key].then(run) if key in held else run
+        if held:
+            packed = [(k, part, *r.packed()) for k, r in held.items()]
+            yield pa.record_batch([pa.array(c) for c in zip(*packed)], names)
+
+    def join(table: pa.Table) -> pa.Table:
+        table = table.sort_by("part")
+        runs = [_Ranked.unpacked(*r) for r in zip(*(table[c].to_pylist() for c in names[2:]))]
+        whole = reduce(_Ranked.then, runs).packed()
+        return pa.table([table["g"][:1], table["part"][:1], *(pa.array([v]) for v in whole)], names)
+
+    runs = materialize(rows.mapInArrow(fold, schema), "runs")
+    while (runs.agg(F.max("part")).first()[0] or 0) > 0:
+        groups = runs.withColumn("part", F.expr(f"part div {_RUNS}")).groupBy("g", "part")
+        runs = materialize(groups.applyInArrow(join, schema), "runs")
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                pos, neg, won = np.frombuffer(v).reshape(7, -1)[:3]
+                both = (pos > 0) & (neg > 0)
+                value = won / np.where(both, pos * neg, 1.0)
+                yield pa.record_batch([pa.array([g] * n), pa.array(np.arange(n, dtype=np.int32)),
+                                       pa.array(value, mask=~both), pa.array(both)], ["g", "replicate", "value", "both"])
+
+    out = runs.select("g", "v").mapInArrow(values, "g string, replicate int, value double, both boolean")
+    if not by:
+        return out.drop("g")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema)
+    return out.select(F.from_json("g", kinds).alias("g"), "replicate", "value", "both").select(
+        "g.*", "replicate", "value", "both")
 
 
 def bootstrap_ci(df: DataFrame, row_id: str, metric="roc_auc", n_bootstrap: int = 1000,
@@ -168,32 +323,25 @@ def bootstrap_ci(df: DataFrame, row_id: str, metric="roc_auc", n_bootstrap: int
                  require_both_classes: bool = True, y: str = Y, p: str = P) -> DataFrame:
     """Poisson bootstrap: ``by..., mean, std, lower, upper, n_samples``.
 
-    ``metric`` is ``roc_auc``, ``average_precision`` or a function of the weighted count
-    columns ``tn, fp, fn, tp`` that returns a column. Samples are never built: each row
-    adds its weight to its replicate, and map-side sums shrink the rows before the shuffle.
+    ``metric`` is ``roc_auc``, ``average_precision`` or a function of the weighted count columns ``tn, fp, fn, tp`` that
+    returns a column. Samples are never built. For the area and for counts rows are never multiplied: tasks hold the sums of
+    all replicates side by side, so what is shuffled grows with the rows or with the replicates, but not with their product.
     """
-    keys = [*by, "replicate"]
-    drawn = bootstrap_weights(df, row_id, n_bootstrap, seed)
     if callable(metric):
-        pos, hit, w = F.col(y) == 1, F.col(p) >= threshold, F.col("weight").cast("long")
-
-        def total(cond):
-            return F.sum(F.when(cond, w).otherwise(0))
-
-        counts = drawn.groupBy(*keys).agg(
-            total(~pos & ~hit).alias("tn"), total(~pos & hit).alias("fp"),
-            total(pos & ~hit).alias("fn"), total(pos & hit).alias("tp"))
+        pos, hit = F.coalesce(F.col(y) == 1, F.lit(False)), F.coalesce(F.col(p) >= threshold, F.lit(False))
+        counts = _resampled_counts(df, row_id, n_bootstrap, seed, by, hit, pos)
         values = counts.select(
-            *keys, metric(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")).alias("value"),
+            *by, "replicate", metric(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")).alias("value"),
             ((F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0)).alias("both"))
+    elif metric == "roc_auc":
+        values = _resampled_auc(df, row_id, n_bootstrap, seed, by, y, p)
+    elif metric == "average_precision":
+        keys = [*by, "replicate"]
+        drawn = bootstrap_weights(df, row_id, n_bootstrap, seed)
+        values = _ranked_scores(score_table(drawn, keys, y, p, "weight"), keys).groupBy(*keys).agg(
+            _ap_sum().alias("value"), ((F.max("total_pos") > 0) & (F.max("total_neg") > 0)).alias("both"))
     else:
-        sums = {"roc_auc": _auc_sum, "average_precision": _ap_sum}
-        if metric not in sums:
-            raise ValueError(f"unknown metric: {metric}")
-        ranked = _ranked_scores(score_table(drawn, keys, y, p, "weight"), keys)
-        values = ranked.groupBy(*keys).agg(
-            sums[metric]().alias("value"),
-            ((F.max("total_pos") > 0) & (F.max("total_neg") > 0)).alias("both"))
+        raise ValueError(f"unknown metric: {metric}")
     if require_both_classes:
         values = values.where("both")
     alpha = (1.0 - confidence) / 2.0

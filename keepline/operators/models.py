@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
     MultilayerPerceptronClassifier, RandomForestClassifier,
@@ -80,40 +80,72 @@ def feature_stages(k_best="all", strict_reference: bool = False, approx: bool =
 
 # --- estimators Spark has no direct counterpart for -------------------------------------------
 
-class RandomFourierMap(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Random cosine features whose inner product approximates the RBF kernel."""
-
+class _KernelParams(Params):
     inputCol = Param(Params._dummy(), "inputCol", "vector column", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "mapped vector", TypeConverters.toString)
     gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
-    size = Param(Params._dummy(), "size", "number of features", TypeConverters.toInt)
-    seed = Param(Params._dummy(), "seed", "seed of the map", TypeConverters.toInt)
+    size = Param(Params._dummy(), "size", "most landmarks", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the choice", TypeConverters.toInt)
+
+    def __init__(self):
+        super().__init__()
+        self._setDefault(inputCol="features", outputCol="kernel", gamma=0.05, size=256, seed=SEED)
+
+
+class NystroemMap(Estimator, _KernelParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Features whose inner product is the RBF kernel on a set of landmark rows, and near it elsewhere.
+
+    Landmarks are the ``size`` distinct rows with the smallest seeded hash: the only rows that reach the driver. The
+    map is the kernel with the landmarks times the inverse root of the kernel among them; directions without weight
+    are left out. Up to ``size`` distinct rows the kernel is exact."""
 
     @keyword_only
-    def __init__(self, *, inputCol="features", outputCol="fourier", gamma=0.05, size=128,
-                 seed=SEED):
+    def __init__(self, *, inputCol="features", outputCol="kernel", gamma=0.05, size=256, seed=SEED):
         super().__init__()
-        self._setDefault(inputCol="features", outputCol="fourier", gamma=0.05, size=128,
-                         seed=SEED)
         self._set(**self._input_kwargs)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def _fit(self, dataset: DataFrame):
         gamma, size, seed = (self.getOrDefault(p) for p in ("gamma", "size", "seed"))
+        x = vector_to_array(self.getOrDefault("inputCol"))
+        rows = dataset.select(x.alias("x")).distinct().orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(size)
+        marks = np.array([r["x"] for r in rows.collect()], dtype=float)
+        values, vectors = np.linalg.eigh(_rbf(marks, marks, gamma))
+        keep = values > 1e-10 * max(values.max(initial=0.0), 1e-300)
+        root = vectors[:, keep] / np.sqrt(values[keep])
+        return self._copyValues(NystroemModel(marks=marks.ravel().tolist(), root=root.ravel().tolist(),
+                                              width=marks.shape[1] if marks.ndim == 2 else 0))
+
+
+class NystroemModel(Model, _KernelParams, DefaultParamsReadable, DefaultParamsWritable):
+    marks = Param(Params._dummy(), "marks", "landmarks, row by row", TypeConverters.toListFloat)
+    root = Param(Params._dummy(), "root", "map from the landmark kernel, row by row", TypeConverters.toListFloat)
+    width = Param(Params._dummy(), "width", "length of a landmark", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, marks=None, root=None, width=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        gamma, width = self.getOrDefault("gamma"), max(self.getOrDefault("width"), 1)
+        marks = np.array(self.getOrDefault("marks")).reshape(-1, width)
+        root = np.array(self.getOrDefault("root")).reshape(len(marks), -1)
 
         @F.pandas_udf("array<double>")
         def project(x: pd.Series) -> pd.Series:
             if len(x) == 0:
                 return pd.Series([], dtype=object)
-            m = np.stack(x.to_numpy())
-            rng = np.random.default_rng(seed)
-            w = rng.normal(0.0, np.sqrt(2 * gamma), (m.shape[1], size))
-            b = rng.uniform(0.0, 2 * np.pi, size)
-            return pd.Series(list(np.sqrt(2.0 / size) * np.cos(m @ w + b)))
+            return pd.Series(list(_rbf(np.stack(x.to_numpy()), marks, gamma) @ root))
 
         return dataset.withColumn(self.getOrDefault("outputCol"), array_to_vector(
             project(vector_to_array(self.getOrDefault("inputCol")))))
 
 
+def _rbf(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
+    square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a @ b.T
+    return np.exp(-gamma * np.maximum(square, 0))
+
+
 class NetworkClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Feed-forward network that takes its input width from the data.
 
@@ -178,7 +210,7 @@ class PenaltyByRows(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         common = {"labelCol": LABEL, "regParam": reg, "maxIter": get("maxIter"),
                   "weightCol": get("weightCol")}
         if get("margin"):
-            return LinearSVC(featuresCol="fourier", rawPredictionCol="svm_raw",
+            return LinearSVC(featuresCol="kernel", rawPredictionCol="svm_raw",
                              predictionCol="svm_class", **common).fit(dataset)
         return LogisticRegression(elasticNetParam=get("l1"), **common).fit(dataset)
 
@@ -244,10 +276,10 @@ def add_champion_weight(df: DataFrame, scale: float = CHAMPION_PARAMS["scale_pos
     return df.withColumn("w_champion", F.when(F.col(LABEL) == 1, float(scale)).otherwise(1.0))
 
 
-def kernel_svm(size: int = 128, max_iter: int = 50, **p) -> Pipeline:
-    """RBF machine with probabilities: cosine features, linear machine, calibrated margin."""
+def kernel_svm(size: int = 256, max_iter: int = 50, **p) -> Pipeline:
+    """RBF machine with probabilities: landmark features, linear machine, calibrated margin."""
     return Pipeline(stages=[
-        RandomFourierMap(gamma=p.get("gamma", 0.05), size=size),
+        NystroemMap(gamma=p.get("gamma", 0.05), size=size),
         PenaltyByRows(C=float(p.get("C", 1.0)), margin=True, maxIter=max_iter,
                       weightCol=_weights(p)),
         VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1]),

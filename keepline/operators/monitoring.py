@@ -1,10 +1,10 @@
 """Model quality once labels are known."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ratio
+from ..functions.ordered import numbered
 from .metrics import compute_metrics
 
 
@@ -53,12 +53,15 @@ def performance_drop_alert(per_window: DataFrame, order: str, by=(), max_drop: f
                            ) -> DataFrame:
     """Compare each window with the one before: recall drop and rise of false positives.
 
-    ``per_window`` holds one row per window with ``recall`` and ``fp_rate``.
+    ``per_window`` holds one row per window with ``recall`` and ``fp_rate``. Windows are numbered
+    over value ranges and joined to the number before, so no task holds the whole history.
     """
-    w = W.partitionBy(*(by or [F.lit(0)])).orderBy(order)
-    before = F.lag("recall").over(w)
-    return per_window.withColumn("recall_before", before).withColumn(
-        "recall_drop", F.coalesce(ratio(before - F.col("recall"), before, empty=None)
-                                  > max_drop, F.lit(False)).cast("int")).withColumn(
-        "fp_rise", F.coalesce(F.col("fp_rate") > F.lag("fp_rate").over(w), F.lit(False))
-        .cast("int"))
+    rows, keys = numbered(per_window, order, by), [*by, "_number"]
+    before = rows.select(*by, (F.col("_number") + 1).alias("_number"),
+                         F.col("recall").alias("recall_before"), F.col("fp_rate").alias("_fp"))
+    before_, recall = F.col("recall_before"), F.col("recall")
+    return rows.join(before, keys, "left").select(
+        *per_window.columns, "recall_before",
+        F.coalesce(ratio(before_ - recall, before_, empty=None) > max_drop, F.lit(False))
+        .cast("int").alias("recall_drop"),
+        F.coalesce(F.col("fp_rate") > F.col("_fp"), F.lit(False)).cast("int").alias("fp_rise"))

@@ -76,10 +76,14 @@ def batch_score(scored: DataFrame, threshold: float = 0.5, now=None,
         .alias(PROBA))
 
 
+#: Columns that say where a request came from; they are no values of it.
+ORIGIN = ["request_id", "batch_id", "item_index"]
+
+
 def prepare_requests(requests: DataFrame) -> DataFrame:
     """Requests with a clean id, the raw values kept beside the coerced ones, and errors."""
     clean = requests.withColumn("customer_id", normalize_customer_id("customer_id"))
-    raw = clean.withColumn("raw", F.struct(*clean.columns))
+    raw = clean.withColumn("raw", F.struct(*[c for c in clean.columns if c not in ORIGIN]))
     return validate_rows(coerce_numeric(raw))
 
 
@@ -90,9 +94,10 @@ def score_requests(requests: DataFrame, score: Callable[[DataFrame], DataFrame],
     """``(log records, rejected requests)`` of a batch of requests.
 
     ``score`` adds ``y_pred_proba`` to the model input (a pipeline's ``transform`` or any
-    DataFrame function). The log keeps the raw values as sent. ``item_index`` numbers the
-    accepted requests; pass an ``item_index`` column with the requests to keep theirs, or
-    ``index_by=None`` to leave it out. Numbering uses ranges of the id, not one global sort.
+    DataFrame function). The log keeps the raw values as sent. ``request_id``, ``batch_id`` and
+    ``item_index`` columns of the requests are kept (see ``score_payloads``); without the last one
+    ``item_index`` numbers the accepted requests by ranges of the id, or is left out with
+    ``index_by=None``.
     """
     from ..functions.ordered import running_sums
 
@@ -111,11 +116,27 @@ def score_requests(requests: DataFrame, score: Callable[[DataFrame], DataFrame],
     records = log_records(
         scored.withColumn("y_pred", apply_threshold(PROBA, threshold)), ["raw.*"], {
             "created_at": F.current_timestamp() if created_at is None else created_at,
-            "request_id": F.lit(request_id), "batch_id": F.lit(batch_id).cast("string"),
+            **{c: v for c, v in (("request_id", F.lit(request_id)), ("batch_id", F.lit(batch_id).cast("string")))
+               if c not in requests.columns},
             "model_uri": F.lit(model_uri), "threshold": F.lit(float(threshold))})
     return records, rejected(checked)
 
 
+def score_payloads(payloads: DataFrame, score: Callable[[DataFrame], DataFrame], model_uri: str,
+                   threshold: float = 0.5, items: str = "items", request_id: str = "request_id",
+                   created_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(log records, rejected requests)`` of payloads: a request id and an array of requests each.
+
+    ``item_index`` is the position in the payload, from 0, whatever happens to the other items; the
+    payload's ``batch_id`` is a hash of its request id. Nothing is shuffled. Null and empty
+    payloads give no rows.
+    """
+    rows = payloads.select(F.col(request_id).alias("request_id"), F.md5(F.col(request_id)).alias("batch_id"),
+                           F.posexplode(items).alias("item_index", "item"))
+    rows = rows.select("request_id", "batch_id", "item_index", "item.*")
+    return score_requests(rows, score, model_uri, threshold, created_at=created_at)
+
+
 def external_model_score(df: DataFrame, predict: Callable[[pd.DataFrame], object],
                          feature_cols, output: str = PROBA) -> DataFrame:
     """Score with any Python model that takes a Pandas frame.

@@ -142,15 +142,33 @@ def friedman_test(spark, d):
     return S.friedman_test(_scores(spark, d))
 
 
-@query(_SC + "," + _RANKS + f"""
-select a.model_name as model_a, b.model_name as model_b, cast(5 as bigint) as k,
-  {r('abs(a.ar - b.ar) / sqrt(30 / cast(a.n * 6 as double)) * sqrt(2)')} as q
-from rs_ a join rs_ b on a.model_name <> b.model_name""")
+# The tail of the studentized range: k phi(z) (Phi(z) - Phi(z - q))^(k - 1), summed over a fine grid of z. Phi comes from
+# the series of the error function, whose terms are all positive.
+_PHI = """case when {z} > 8 then 1.0 when {z} < -8 then 0.0 when {z} = 0 then 0.5 else 0.5 + sign({z}) / sqrt(pi())
+  * exp(-{z} * {z} / 2) * list_sum(list_transform(range(140), lambda n: exp((2 * n + 1) * ln(abs({z}) / sqrt(2.0))
+    + 2 * n * ln(2.0) + lgamma(n + 1) - lgamma(2 * n + 2)))) end"""
+_NEMENYI = _SC + "," + _RANKS + f""",
+q_ as (select a.model_name as model_a, b.model_name as model_b, cast(5 as bigint) as k,
+    abs(a.ar - b.ar) / sqrt(30 / cast(a.n * 6 as double)) * sqrt(2) as q
+  from rs_ a join rs_ b on a.model_name <> b.model_name),
+d_ as (select distinct q, k from q_),
+z_ as (select q, k, (i - 400) / 50.0::double as z from d_, (select unnest(range(801)) as i)),
+e_ as (select q, k * exp(-z * z / 2) / sqrt(2 * pi())
+    * ({_PHI.replace("{z}", "z")} - {_PHI.replace("{z}", "(z - q)")}) ** (k - 1) / 50 as v from z_),
+t_ as (select q, case when q <= 0 then 1.0 else greatest(0.0, least(1.0, 1 - sum(v))) end as p from e_ group by q),
+n_ as (select model_a, model_b, k, {r('q_.q')} as q, {r('p')} as p_value from q_ join t_ on q_.q = t_.q)"""
+
+
+@query(_NEMENYI + """, f_ as (select count(*) as k, max(n) as n, sum(s * s) as ss,
+    (select sum(t * t - 1) from ra_) as ties from rs_),
+x_ as (select (12.0 / cast(n * k * (k + 1) as double) * ss - 3.0 * n * (k + 1))
+    / (1 - ties / cast(n * k * (k * k - 1) as double)) as x from f_)
+select n_.* from n_, x_ where exp(-x / 2) * (1 + x / 2) < 0.05""")
 def nemenyi_test(spark, d):
-    return S.nemenyi_statistic(_scores(spark, d))
+    return S.nemenyi_test(_scores(spark, d), only_if_friedman=True)
 
 
-@query()
+@query(_NEMENYI + " select * from n_")
 def nemenyi_p_values(spark, d):
     return S.nemenyi_test(_scores(spark, d))
 

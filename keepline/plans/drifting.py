@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import drift as D
+from ..operators import drift_state as S
 from ..operators import metrics as M
 from ..operators import monitoring as N
+from ..session import scratch_path
 from ..sources import tables as T
 from ..sources import views as V
 from .registry import query
@@ -51,6 +54,43 @@ def drift_report(spark, d):
     return D.drift_report(base, log)
 
 
+def _state(spark, d):
+    """The log's days, added to the state in two steps; the second reads only days after the first."""
+    base, log = _baseline_and_log(spark, d)
+    root = scratch_path(spark, "drift-state")
+    S.store_baseline(base, root)
+    for until in ("1998-04-01", "2100-01-01"):
+        S.update_state(log, root, until)
+    return root
+
+
+@query(_REPORT + f""" select feature, {r('psi')} as psi, dropped, n_rows,
+  {r('max_psi')} as max_psi from re_""")
+def drift_report_stored(spark, d):
+    return S.report_from_state(spark, _state(spark, d), CUT, "2100-01-01")
+
+
+@query(_REPORT + f""" select cast(7 as int) as window_days, n_rows, feature, {r('psi')} as psi,
+  {r('max_psi')} as max_psi, 'models:/m/1' as baseline_model_uri,
+  'models:/m/2' as model_uri_current, cast(max_psi >= 0.2 as int) as alert from re_""")
+def drift_job(spark, d):
+    """The whole job: stored baseline, new days, report, appended row, alert."""
+    base, log = _baseline_and_log(spark, d)
+    stored, root, path = (scratch_path(spark, n) for n in ("job-baseline", "job-state", "job-metrics"))
+    wide = T.flatten_features_json(V.feature_log(spark, d), _FIELDS).where(
+        F.col("created_at") < F.lit(CUT).cast("timestamp"))
+    T.make_baseline(wide, stored, "models:/m/1")
+    values, meta = T.read_baseline(spark, stored)
+    S.store_baseline(values, root)
+    S.update_state(log, root, "2100-01-01")
+    report = S.report_from_state(spark, root, CUT, "2100-01-01")
+    uri = meta.first()["model_uri"]
+    T.append_drift_metrics(D.drift_summary(report, 7, uri, "models:/m/2"), path)
+    rows = spark.read.schema(schemas.DRIFT_METRICS).parquet(path)
+    return rows.select("window_days", "n_rows", F.explode("psi").alias("feature", "psi"), "max_psi",
+                       "baseline_model_uri", "model_uri_current", D.drift_alert().alias("alert"))
+
+
 def _summary(spark, d):
     base, log = _baseline_and_log(spark, d)
     return D.drift_summary(D.drift_report(base, log), 7, "models:/m/1", "models:/m/2")

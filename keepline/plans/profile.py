@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..constants import CATEGORICAL_COLS
 from ..operators import cleaning as C
 from ..operators import profile as P
 from ..sources import views as V
@@ -130,10 +131,10 @@ def box_stats(spark, d):
 
 
 @query(_SRC + " union all ".join(
-    f" select '{c}' as \"column\", count(*) filter (abs(({c} - m) / s) > 2) as outliers from s_,"
+    f" select '{c}' as \"column\", count(*) filter (abs(({c} - m) / s) > 3) as outliers from s_,"
     f" (select avg({c}) as m, stddev_pop({c}) as s from s_)" for c in _NUM))
 def zscore_outliers(spark, d):
-    return P.zscore_outliers(_typed(spark, d), _NUM, 2.0)
+    return P.zscore_outliers(_typed(spark, d), _NUM)
 
 
 @query(ctes("dirty") + _each(
@@ -182,8 +183,6 @@ def distribution_shape(spark, d):
 
 
 _YN = ["SeniorCitizen", "Partner", "Dependents", "PhoneService", "PaperlessBilling"]
-_DUMMIES = {"Contract": ["Month-to-month", "One year", "Two year"],
-            "InternetService": ["DSL", "Fiber optic", "No"]}
 _Y = "case Churn when 'Yes' then 1.0 when 'No' then 0.0 end"
 
 
@@ -191,15 +190,19 @@ def _corr(name, expr):
     return f" select '{name}' as feature, {r(f'corr({expr}, {_Y})')} as r from s_"
 
 
-@query(_SRC + " union all ".join(
+@query(_SRC.rstrip() + ", " * (not _SRC.rstrip().endswith(",")) + f"""l_ as (select unnest([{", ".join(
+    f"{{'c': '{c}', 'v': {c}}}" for c in CATEGORICAL_COLS)}], recursive := true), {_Y} as y from s_),
+v_ as (select c, v, row_number() over (partition by c order by v) as i from (select distinct c, v from l_
+  where v is not null)),
+d_ as (select l_.c || '_' || v_.v as feature, corr(cast(l_.v is not distinct from v_.v as int), y) as r
+  from l_ join v_ on l_.c = v_.c where i > 1 group by 1)
+select replace(feature, '.', '_') as feature, {r('r')} as r from d_ union all """ + " union all ".join(
     [_corr(c, c if c == "SeniorCitizen" else
            f"case {c} when 'Yes' then 1.0 when 'No' then 0.0 end") for c in _YN]
-    + [_corr(c, f"cast({c} as double)") for c in ("tenure", "MonthlyCharges", "TotalCharges")]
-    + [_corr(f"{c}_{v}", f"cast({c} is not distinct from '{v}' as int)")
-       for c, vs in _DUMMIES.items() for v in vs[1:]]))
+    + [_corr(c, f"cast({c} as double)") for c in ("tenure", "MonthlyCharges", "TotalCharges")]))
 def target_correlation(spark, d):
     df = _typed(spark, d)
-    levels = P.category_levels(df, list(_DUMMIES))
+    levels = P.category_levels(df, CATEGORICAL_COLS)
     return P.target_correlation(df, "Churn", _YN, levels,
                                 ["tenure", "MonthlyCharges", "TotalCharges"])
 

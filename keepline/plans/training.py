@@ -1,44 +1,58 @@
 """Queries of training, search and scoring."""
 
+from datetime import datetime
+
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..constants import CHAMPION_K_BEST, METRICS, MLP_GRID, N_FOLDS, SEARCH_ITERATIONS
 from ..operators import metrics as M
 from ..operators import models as L
 from ..operators import scoring as G
+from ..session import scratch_path
 from ..sources import views as V
+from ..training import cv as C
+from ..training import runs as R
+from ..training.design import fold_design
 from .registry import query
 from .sqltext import ctes, r
 
-FOLDS = 3
+def prepared(spark, d):
+    return L.training_table(V.customers(spark, d), N_FOLDS)
+
 
+def _design(spark, d):
+    return fold_design(prepared(spark, d), N_FOLDS)
 
-def prepared(spark, d):
-    return L.training_table(V.customers(spark, d), FOLDS)
 
+def _together(design, name, setting):
+    """Out-of-fold scores of all ten folds, fitted side by side."""
+    folds = list(range(N_FOLDS))
+    fitted = C.fit_all(design, name, [setting], folds)
+    return C.out_of_fold(design, {f.left_out: scorer for f, scorer in fitted.items()})
 
-def _holdout_metrics(spark, d, name, k=15, **params):
-    """Train on two folds, report the six metrics on the third."""
-    df = prepared(spark, d)
-    if name == "xgboost":
-        df = L.add_champion_weight(df)
-    model = L.model_pipeline(name, k, approx=True, **params).fit(df.where(F.col("fold") != 0))
-    return M.compute_metrics(L.scores_of(model, df.where(F.col("fold") == 0)), ["fold"])
+
+def _fit_query(name, classifier, **setting):
+    """The six metrics of every fold, each scored by the fit without it."""
+    @query(name=name)
+    def run(spark, d):
+        return C.fold_metrics(_together(_design(spark, d), classifier, setting))
 
 
-def _fit_query(name, classifier, **params):
+def _spark_query(name, classifier, **params):
+    """The same with one Spark estimator per fold."""
     @query(name=name)
     def run(spark, d):
-        return _holdout_metrics(spark, d, classifier, **params)
+        return C.fold_metrics(C.spark_out_of_fold(_design(spark, d), classifier, 15, **params))
 
 
-_fit_query("logreg", "logreg", C=1.0, l1_ratio=0.2, class_weight="balanced")
-_fit_query("decision_tree", "DecisionTree", max_depth=4, class_weight="balanced")
-_fit_query("random_forest", "RandomForest", n_estimators=20, max_depth=6)
-_fit_query("gradient_boosting", "GradientBoosting", n_estimators=10)
-_fit_query("boosted_champion", "xgboost", n_estimators=15, learning_rate=0.1)
-_fit_query("kernel_svm", "SVC_rbf", gamma=0.05, size=64, max_iter=20)
-_fit_query("mlp", "mlp", hidden_layers=[16, 8], max_epochs=30)
+_fit_query("logreg", "logreg", C=1.0, l1_ratio=0.2, class_weight="balanced", k_best=15)
+_spark_query("decision_tree", "DecisionTree", max_depth=4, class_weight="balanced")
+_spark_query("random_forest", "RandomForest", n_estimators=100, max_depth=6)
+_fit_query("gradient_boosting", "GradientBoosting", n_estimators=100, k_best=15)
+_fit_query("boosted_champion", "xgboost", k_best=CHAMPION_K_BEST)
+_spark_query("kernel_svm", "SVC_rbf", gamma=0.05)
+_fit_query("mlp", "mlp", **MLP_GRID[0])
 
 
 def _labelled(spark, d):
@@ -62,35 +76,52 @@ def dummy_stratified(spark, d):
 
 @query()
 def random_search(spark, d):
-    results, _, _ = L.random_search(prepared(spark, d), "logreg", 3, FOLDS, max_iter=20)
-    return results
+    space = {**L.SEARCH_SPACES["logreg"], "k_best": L.K_CHOICES}
+    settings = C.sample_settings(space, SEARCH_ITERATIONS["logreg"])
+    return C.search(_design(spark, d), "logreg", settings)[0]
 
 
 @query()
 def grid_cv(spark, d):
-    grid = [{"hidden_layers": [8], "k_best": 15}, {"hidden_layers": [8, 4], "k_best": "all"}]
-    results, _, _ = L.grid_cv(prepared(spark, d), "mlp", grid, FOLDS, max_epochs=15)
-    return results
+    return C.search(_design(spark, d), "mlp", MLP_GRID)[0]
 
 
 @query()
 def cross_validate(spark, d):
-    pipeline = L.model_pipeline("logreg", 15, approx=True, C=1.0, max_iter=20)
-    return L.cross_validate(prepared(spark, d), pipeline, FOLDS)[1]
+    folds = C.fold_metrics(_together(_design(spark, d), "logreg", {"C": 1.0, "k_best": 15}))
+    return M.cv_summary(folds, METRICS)
 
 
-@query()
+@query(ctes("customers") + """ select cast(customerID as varchar) as row_id,
+  cast(Churn = 'Yes' as int) as y_true from customers""")
 def oof_predictions(spark, d):
-    pipeline = L.model_pipeline("DecisionTree", "all", approx=True, max_depth=3)
-    return L.oof_predictions(prepared(spark, d), pipeline, FOLDS)
+    """Every row is scored once, with its own label."""
+    oof = _together(_design(spark, d), "logreg", {"C": 1.0, "l1_ratio": 0.2, "k_best": "all"})
+    return oof.where("y_proba between 0 and 1").select(F.col("row_id").cast("string").alias("row_id"), "y_true")
 
 
 @query()
 def refit_final(spark, d):
-    df = prepared(spark, d)
-    model, trees = L.refit_final(df, 15, n_estimators=8, learning_rate=0.2)
-    scored = L.scores_of(model, df)
-    return M.compute_metrics(scored).withColumn("trees", F.lit(trees))
+    design = _design(spark, d)
+    trees, count = C.refit_champion(design, CHAMPION_K_BEST)
+    scored = C.scored(design, C.tree_scorer(design.shape, trees, N_FOLDS))
+    return M.compute_metrics(scored).withColumn("trees", F.lit(count))
+
+
+@query()
+def training_runs(spark, d):
+    """Two searches from fit to ranking: each is committed as a run, the ranking reads only what was committed."""
+    design, root = _design(spark, d), scratch_path(spark, "training-runs")
+    plain = [{"C": c, "l1_ratio": 0.0, "k_best": 15} for c in (0.01, 0.1, 1.0, 10.0)]
+    balanced = [{**s, "class_weight": "balanced"} for s in plain]
+    for run_id, settings in (("run-plain", plain), ("run-balanced", balanced)):
+        table, best, _ = C.search(design, "logreg", settings)
+        params = {f"model__{k}": v for k, v in best.items() if k != "k_best"}
+        R.commit_run(spark, root, run_id, run_id.replace("run-", "logreg_"), {
+            **params, "select_kbest__k": best["k_best"], "search_type": "randomized", "n_iter": len(settings)},
+            _together(design, "logreg", best), datetime(2024, 3, 1), table, n_folds=N_FOLDS,
+            metrics={"best_cv_score": table.agg(F.max("mean_recall")).first()[0]})
+    return R.ranked_runs(spark, root)
 
 
 # --- scores ---------------------------------------------------------------------------------
@@ -117,13 +148,12 @@ def apply_threshold(spark, d):
                                   G.apply_threshold("y_proba", 0.4).alias("y_pred"))
 
 
-@query(ctes("oof") + f""" select row_id, '2024-02-01' as prediction_month,
+@query(ctes("oof") + f""" select model_name, row_id, '2024-02-01' as prediction_month,
   cast(y_proba >= 0.5 as int) as y_pred, {r('y_proba')} as y_pred_proba
-from oof where model_name = 'm3'""")
+from oof""")
 def batch_score(spark, d):
-    o = V.oof(spark, d).where(F.col("model_name") == "m3")
     now = F.lit("2024-03-01 01:30:00").cast("timestamp")
-    return G.batch_score(o, 0.5, now, keep=["row_id"], proba=F.col("y_proba"))
+    return G.batch_score(V.oof(spark, d), 0.5, now, keep=["model_name", "row_id"], proba=F.col("y_proba"))
 
 
 def _simple_score(df):
@@ -134,17 +164,25 @@ _GOOD = """good_ as (select * from requests where tenure between 0 and 200
   and PaperlessBilling between 0 and 1 and MonthlyCharges between 0 and 1000)"""
 
 
-@query(ctes("requests") + "," + _GOOD + f""" select 'req' as request_id, 'batch' as batch_id,
-  cast(row_number() over (order by customer_id) - 1 as int) as item_index,
+_PAYLOADS = """sent_ as (select *, 'req-' || kk % 40 as request_id,
+  cast(row_number() over (partition by kk % 40 order by kk) - 1 as int) as item_index from requests)"""
+
+
+@query(ctes("requests") + "," + _PAYLOADS + "," + _GOOD.replace("from requests", "from sent_") + f"""
+select request_id, md5(request_id) as batch_id, item_index,
   'models:/m/1' as model_uri, cast(0.5 as double) as threshold,
   cast(least(tenure / 100, 1.0) >= 0.5 as int) as y_pred,
   {r('least(tenure / 100, 1.0)')} as y_pred_proba, customer_id, TotalCharges from good_""")
 def score_requests(spark, d):
     from ..sources.tables import flatten_features_json
 
+    requests = V.score_requests(spark, d)
+    k = F.regexp_extract("customer_id", "[0-9]+", 0).cast("long")
+    payloads = requests.groupBy(F.concat(F.lit("req-"), (k % 40).cast("string")).alias("request_id")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.struct(*requests.columns).alias("item")))),
+                    lambda e: e["item"]).alias("items"))
     created = F.lit("2024-03-01 00:00:00").cast("timestamp")
-    records, _ = G.score_requests(V.score_requests(spark, d), _simple_score, "models:/m/1",
-                                  request_id="req", batch_id="batch", created_at=created)
+    records, _ = G.score_payloads(payloads, _simple_score, "models:/m/1", created_at=created)
     return flatten_features_json(records, "customer_id string, TotalCharges string").drop(
         "created_at")
 

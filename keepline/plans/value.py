@@ -92,16 +92,16 @@ def summarize_folds(spark, d):
     return M.summarize_folds(v, "roi", ["model_name"])
 
 
-_REPS = 20
-_POISSON = " ".join(
-    f"when u >= {c!r} then {k}" for k, c in reversed([
-        (k, sum(0.36787944117144233 / f for f in fs)) for k, fs in (
-            (k, [1, 1, 2, 6, 24, 120, 720, 5040, 40320][:k]) for k in range(1, 10))]))
+_REPS = 1000
+_POISSON = " ".join(f"when u >= {c!r}::double then {k + 1}" for k, c in reversed(list(enumerate(M.poisson_steps()))))
 
 
-@query(ctes("oof") + f""", u_ as (select model_name, y_true, y_proba, rep,
-    ('0x' || substr(md5('42:' || rep || ':' || row_id), 1, 8))::bigint / 4294967296.0::double as u
-  from oof cross join (select unnest(range({_REPS})) as rep)),
+@query(ctes("oof") + f""", h_ as (select model_name, y_true, y_proba, md5('42:' || row_id) as m from oof),
+i_ as (select model_name, y_true, y_proba, ('0x' || substr(m, 1, 8))::bigint as h1,
+    ('0x' || substr(m, 9, 8))::bigint as h2 from h_),
+u_ as (select model_name, y_true, y_proba, rep,
+    ((h1 + rep * h2) % 4294967296) / 4294967296.0::double as u
+  from i_ cross join (select unnest(range({_REPS})) as rep)),
 w_ as (select model_name, rep, y_proba, y_true, case {_POISSON} else 0 end as w from u_),
 g_ as (select model_name, rep, y_proba, sum(w) filter (y_true = 1) as pos,
     sum(w) filter (y_true <> 1) as neg from w_ where w > 0 group by all),

@@ -68,3 +68,50 @@ def test_distance_of_distributions(spark):
     want = max(abs((e <= g).mean() - (a <= g).mean()) for g in grid)
     got = D.ks_drift(long(spark, "x", e), long(spark, "x", a)).first()
     assert got["ks"] == pytest.approx(want, abs=1e-12)
+
+
+def test_stored_days_give_the_report_of_the_log(spark):
+    """Three steps, one of them run twice; a window inside; late steps read only their own days."""
+    from keepline.operators import drift_state as S
+    from keepline.session import scratch_path
+
+    day = F.expr("timestamp '2024-01-01' + make_interval(0, 0, 0, cast(id % 9 as int), 5)")
+    log = spark.range(900).select(day.alias("created_at"), (F.col("id") * 7 % 100).cast("double").alias("tenure"),
+                                  F.when(F.col("id") % 11 > 0, (F.col("id") % 50).cast("string")).alias("TotalCharges"))
+    baseline = D.drift_features(log.where("created_at < timestamp '2024-01-03'"))
+    root = scratch_path(spark, "state")
+    S.store_baseline(baseline, root)
+    assert S.last_day(spark, root) is None
+    read = [S.update_state(log, root, until) for until in ("2024-01-04", "2024-01-06", "2024-01-06", "2024-02-01")]
+    assert read == [300, 200, 0, 400]
+    assert str(S.last_day(spark, root)) == "2024-01-09"
+    for since, until in (("2024-01-01", "2024-02-01"), ("2024-01-03", "2024-01-08")):
+        rows = log.where(F.col("created_at").between(F.lit(since).cast("timestamp"), F.lit(until).cast("timestamp")))
+        want = {r["feature"]: (r["psi"], r["dropped"], r["n_rows"], r["max_psi"]) for r in D.drift_report(baseline, rows).collect()}
+        got = {r["feature"]: (r["psi"], r["dropped"], r["n_rows"], r["max_psi"])
+               for r in S.report_from_state(spark, root, since, until).collect()}
+        assert set(got) == {"tenure", "TotalCharges"} and got == {k: pytest.approx(v) for k, v in want.items()}
+    q = S.quantiles_from_state(spark, root, "2024-01-01", "2024-01-03", [0.0, 0.5, 1.0]).where("feature = 'tenure'")
+    assert [r["q"] for r in q.orderBy("p").collect()][::2] == [
+        baseline.where("feature = 'tenure'").agg(f("value")).first()[0] for f in (F.min, F.max)]
+    assert S.report_from_state(spark, root, "2025-01-01", "2025-02-01").count() == 0
+
+
+def test_plans_have_no_nested_loops_and_no_single_partition(spark):
+    from keepline.operators import monitoring as N
+    from keepline.sources import views as V
+
+    orders = V.table(spark, "/root/testdata/sf0.001", "orders").select(
+        F.lit("o_totalprice").alias("feature"), F.col("o_totalprice").alias("value"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    edges = D.baseline_edges(orders.select("feature", "value"))
+    counts = D.bin_counts(orders, edges, by=["month"])
+    report = D.psi_from_counts(edges, D.bin_counts(orders, edges), counts, ["month"])
+    history = report.select("month", F.col("psi").alias("max_psi"))
+    windows = history.select("month", F.col("max_psi").alias("recall"), F.col("max_psi").alias("fp_rate"))
+    for df in (D.psi(orders, orders), report, D.sustained_drift(history, "month"), N.performance_drop_alert(windows, "month")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    for df in (D.sustained_drift(history, "month"), N.performance_drop_alert(windows, "month")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Window ") <= plan.count("hashpartitioning")

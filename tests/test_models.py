@@ -72,6 +72,63 @@ def test_mutual_information_of_a_copy_is_the_entropy(spark):
     assert mi["flat"] == 0.0 and 0 < mi["half"] < mi["same"]
 
 
+def test_landmarks_give_the_kernel(spark):
+    """Exact with as many landmarks as rows; near with fewer; both the width and the penalty matter."""
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(60, 3))
+    ring = (np.sqrt((x * x).sum(axis=1)) > 1.5).astype(float)
+    df = spark.createDataFrame([(i, Vectors.dense(v), float(c)) for i, (v, c) in enumerate(zip(x, ring))],
+                               ["id", "features", "label"])
+    df = df.withColumn("w_none", F.lit(1.0)).withColumn("fold", F.lit(0))
+    exact = L._rbf(x, x, 0.5)
+
+    def kernel(size):
+        rows = L.NystroemMap(gamma=0.5, size=size).fit(df).transform(df).orderBy("id").collect()
+        m = np.stack([r["kernel"].toArray() for r in rows])
+        return m @ m.T
+
+    np.testing.assert_allclose(kernel(60), exact, atol=1e-6)
+    assert np.abs(kernel(40) - exact).mean() < 0.02 < np.abs(kernel(5) - exact).mean()
+
+    def scores(**p):
+        out = L.kernel_svm(size=60, **p).fit(df).transform(df)
+        return np.array([r["p"] for r in out.orderBy("id").select(G.positive_probability(out).alias("p")).collect()])
+
+    wide, narrow = scores(gamma=0.5, C=10.0), scores(gamma=0.001, C=10.0)
+    auc = lambda s: np.mean([(a > b) for a in s[ring == 1] for b in s[ring == 0]])
+    assert auc(wide) > 0.95 > auc(narrow) and np.abs(wide - scores(gamma=0.5, C=0.01)).max() > 0.05
+
+
+def neighbours_by_brute_force(values, classes, k):
+    """The same estimate by comparing all rows with all."""
+    digamma = lambda n: -0.5772156649015329 + sum(1 / i for i in range(1, int(n)))
+    rows = [(v, c) for v, c in zip(values, classes) if v is not None and classes.count(c) > 1]
+    sizes = {c: sum(d == c for _, d in rows) for _, c in rows}
+    total = digamma(len(rows))
+    for j, (v, c) in enumerate(rows):
+        own = min(k, sizes[c] - 1)
+        r = sorted(abs(w - v) for i, (w, d) in enumerate(rows) if d == c and i != j)[own - 1]
+        m = sum(abs(w - v) < r - 1e-9 or w == v for w, _ in rows)
+        total += (digamma(own) - digamma(sizes[c]) - digamma(m)) / len(rows)
+    return max(total, 0.0)
+
+
+@pytest.mark.parametrize("chunk", [7, 1024])
+def test_mutual_information_by_neighbours(spark, monkeypatch, chunk):
+    monkeypatch.setattr(E, "_CHUNK", chunk)
+    rng = np.random.default_rng(3)
+    y = ["a" if u < 0.3 else "b" for u in rng.random(150)] + ["rare", "rare", "once"]
+    x = [round(float(v) + (1.5 if c == "a" else 0), 3) for v, c in zip(rng.normal(size=153), y)]
+    ties = [float(v) for v in rng.integers(0, 6, 153)]
+    x[10] = None
+    df = spark.createDataFrame(list(zip(y, x, ties)), "y string, x double, ties double").repartition(5)
+    got = {r["feature"]: r["mi"] for r in E.mutual_info_neighbours(df, "y", ["x", "ties"]).collect()}
+    assert got["x"] == pytest.approx(neighbours_by_brute_force(x, y, 3), abs=1e-6)
+    assert got["ties"] == pytest.approx(neighbours_by_brute_force(ties, y, 3), abs=1e-6)
+
+
 @pytest.fixture(scope="module")
 def fitted(training):
     return L.model_pipeline("logreg", 15, n_rows=180).fit(training)
