@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.ordered import long_format
 from ..operators import drift as D
 from ..operators import drift_state as S
 from ..operators import metrics as M
@@ -18,10 +19,10 @@ _FIELDS = "tenure double, MonthlyCharges double, TotalCharges string"
 
 
 def _prices(spark, d):
-    o = V.table(spark, d, "orders").select(
-        F.lit("o_totalprice").alias("feature"), F.col("o_totalprice").alias("value"),
-        (F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz")).alias("old"))
-    return o.where("old").drop("old"), o.where("not old").drop("old")
+    """Old and new prices in long form; the feature is no literal, so joins on it stay equi-joins."""
+    o = long_format(V.table(spark, d, "orders"), ["o_totalprice"], ["o_orderdate"])
+    old = F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz")
+    return o.where(old).drop("o_orderdate"), o.where(~old).drop("o_orderdate")
 
 
 _OLD = f"""select 'o_totalprice' as feature, o_totalprice as value from orders
@@ -106,9 +107,8 @@ def _monthly(spark, d):
     """PSI of the price per month against the oldest orders: a drift history."""
     expected, _ = _prices(spark, d)
     edges = D.baseline_edges(expected)
-    long = V.table(spark, d, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM-01").alias("month"),
-        F.lit("o_totalprice").alias("feature"), F.col("o_totalprice").alias("value"))
+    long = long_format(V.table(spark, d, "orders").withColumn(
+        "month", F.date_format("o_orderdate", "yyyy-MM-01")), ["o_totalprice"], ["month"])
     counts = D.bin_counts(long, edges, by=["month"])
     rows = counts.groupBy("month").agg(F.sum("n").alias("n_rows"))
     history = D.psi_from_counts(edges, D.bin_counts(expected, edges), counts, ["month"])

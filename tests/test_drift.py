@@ -101,9 +101,10 @@ def test_plans_have_no_nested_loops_and_no_single_partition(spark):
     from keepline.operators import monitoring as N
     from keepline.sources import views as V
 
-    orders = V.table(spark, "/root/testdata/sf0.001", "orders").select(
-        F.lit("o_totalprice").alias("feature"), F.col("o_totalprice").alias("value"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    from keepline.functions.ordered import long_format
+
+    orders = long_format(V.table(spark, "/root/testdata/sf0.001", "orders").withColumn(
+        "month", F.date_format("o_orderdate", "yyyy-MM")), ["o_totalprice"], ["month"])
     edges = D.baseline_edges(orders.select("feature", "value"))
     counts = D.bin_counts(orders, edges, by=["month"])
     report = D.psi_from_counts(edges, D.bin_counts(orders, edges), counts, ["month"])
