@@ -187,10 +187,10 @@ g_ as (select *, count(*) over (partition by feature, y) as nc from l_ qualify n
 d_ as (select a.feature, a.i, a.v, a.nc, least(3, a.nc - 1) as k, list_sort(list(abs(a.v - b.v))) as ds
   from g_ a join g_ b on a.feature = b.feature and a.y = b.y and a.i <> b.i group by all),
 r_ as (select feature, i, v, nc, k, ds[k] as r from d_),
-m_ as (select r_.feature, r_.i, r_.nc, r_.k, count(*) filter (abs(g_.v - r_.v) < r - 1e-9 or g_.v = r_.v) as m
+mm_ as (select r_.feature, r_.i, r_.nc, r_.k, count(*) filter (abs(g_.v - r_.v) < r - 1e-9 or g_.v = r_.v) as m
   from r_ join g_ on g_.feature = r_.feature group by all),
 mi_ as (select feature, {_psi('count(*)')} + avg({_psi('k')}) - avg({_psi('nc')}) - avg({_psi('m')}) as mi
-  from m_ group by feature)
+  from mm_ group by feature)
 select feature, {r('greatest(mi, 0)')} as mi from mi_""")
 def mutual_info_neighbours(spark, d):
     return E.mutual_info_neighbours(_clean(spark, d), "Churn", _MI_NUM)
