@@ -250,4 +250,6 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"),
+        # A cut may fall inside a character; its bytes then become the replacement character here.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
