@@ -52,10 +52,10 @@ def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the piece ids of their texts."""
+    """Documents with the piece ids of their texts, and the texts that the ids decode to."""
     import public_tokenizers
 
-    out = encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    out = encode(docs, public_tokenizers.path("piece_bpe_32k.model"), back="decoded")
     return out.withColumn("n_pieces", F.size("ids").cast("long"))
 
 

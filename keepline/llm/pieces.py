@@ -393,7 +393,7 @@ def _held(encoded: DataFrame, counted: DataFrame, most: int) -> tuple[DataFrame,
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kind: str = "bpe",
-           broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+           broadcast_words: int = BROADCAST_WORDS, back: str | None = None) -> DataFrame:
     """Add the piece ids of each text, as the model at ``path`` encodes it.
 
     A text starts with a space mark and spaces become marks. Pieces hold marks only in front, so words (marks
@@ -403,7 +403,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
     merges, "unigram" Viterbi). Texts then look their words up: the encodings of the most frequent words, at most
     ``broadcast_words`` and ``BROADCAST_BYTES``, are broadcast in flat arrays; other words are joined by shuffle.
 
-    Null and empty texts have no pieces. Repeated rows are encoded alike. A column named ``out`` is replaced,
+    With ``back`` that column gets the text that the ids decode to, in the same pass and worker (see ``decode``).
+
+    Null and empty texts have no pieces. Repeated rows are encoded alike. Columns named ``out`` and ``back`` are replaced,
     others pass through. Models are those without other text normalisation than the space mark.
     """
     spark = docs.sparkSession
@@ -453,9 +455,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
             F.collect_list(F.struct("word", "ids")).alias("tail_"))
         rows, key = rows.join(tail, "key_", "left"), ["key_", "tail_"]
 
-    @F.arrow_udf("array<int>")
+    nothing = pa.array([], pa.list_(pa.int32()))
+
+    @F.arrow_udf("array<int>" if back is None else "struct<ids: array<int>, text: string>")
     def to_ids(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         v = _vocabulary(path)
+        decoder = None if back is None else Texts(v)
 
         def ids_of(texts: list[str], tails: Iterator[pa.Scalar]) -> pa.Array:
             lists, open_ = look_up(texts, v)
@@ -476,10 +481,19 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kin
             for at in range(0, len(texts), TEXTS_AT_ONCE):
                 some = texts_of(texts.slice(at, TEXTS_AT_ONCE))
                 parts += [ids_of(run, tails) for run in byte_batches(some, RUN_CHARS)]
-            yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
+            ids = pa.concat_arrays([nothing, *parts])
+            if decoder is None:
+                yield ids
+            else:
+                texts = pa.concat_arrays([pa.array([], pa.string()), *map(decoder.of, parts)])
+                yield pa.StructArray.from_arrays([ids, texts], ["ids", "text"])
 
     none = F.lit(None).cast("array<struct<word: string, ids: array<int>>>")
-    return rows.withColumn(out, to_ids(F.col(text), F.col("tail_") if key else none)).drop(*key)
+    made = to_ids(F.col(text), F.col("tail_") if key else none)
+    if back is None:
+        return rows.withColumn(out, made).drop(*key)
+    both = rows.withColumn("both_", made)
+    return both.withColumns({out: F.col("both_.ids"), back: F.col("both_.text")}).drop("both_", *key)
 
 
 class Texts:
@@ -543,7 +557,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, path), path, out="decoded")
+    both = encode(docs, path, back="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
         (F.col("decoded") == F.coalesce(F.replace(F.col("text"), F.lit(SPACE), F.lit(" ")), F.lit(""))).alias("same"))

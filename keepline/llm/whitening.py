@@ -280,7 +280,8 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vectors.where("x is not null")
     model = fit_whitening(vectors)
     shares = F.array(*(F.lit(float(e / model.trace)) for e in model.values)).cast("array<double>")
-    rows = whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("i", "whitened"))
-    return rows.select(
+    # The outer form, as the other one would filter by the function's result and so run it twice.
+    rows = whiten(vectors, model).select("vec_id", "deviation", F.posexplode_outer("whitened").alias("i", "whitened"))
+    return rows.where("i is not null").select(
         "vec_id", (F.col("i") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
         F.get(shares, F.col("i")).alias("explained"), F.lit(model.identity_error).cast("double").alias("identity_error"))

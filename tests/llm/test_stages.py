@@ -1,6 +1,7 @@
 """Stages of the pipeline against brute force."""
 
 import itertools
+import re
 
 import numpy as np
 
@@ -59,3 +60,38 @@ def test_near_duplicates_of_the_small_table(spark):
         least[x] = min(d, least.get(x, d))
     got = sorted(r["doc_id"] for r in corpus_pipeline.keep_first_copies(spark, docs, SMALL).collect())
     assert got == sorted(least.values())
+
+
+def test_leaks_of_the_small_table(spark):
+    """A document goes if ten words in a row, or a whole shorter item, stand in it."""
+    def runs(w, n):
+        return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+
+    def tokens(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+    items = [tokens(r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    windows = set().union(*(runs(w, min(10, len(w))) for w in items if w))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = {r["doc_id"] for r in docs.collect() if not any(
+        runs(tokens(r["text"]), n) & windows for n in {len(x) for x in windows})}
+    got = [r["doc_id"] for r in corpus_pipeline.drop_leaks(spark, docs, SMALL).collect()]
+    assert set(got) == want and len(got) == len(want) < docs.count()
+
+
+def test_pieces_of_the_small_table(spark):
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for r in corpus_pipeline.to_pieces(spark, docs, SMALL).collect():
+        assert r["ids"] == model.encode(r["text"] or "") and r["n_pieces"] == len(r["ids"])
+        assert r["decoded"] == (r["text"] or "").replace("\u2581", " ")
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        out = stage(spark, docs, SMALL)
+        assert out.count() == 0 and set(docs.columns) <= set(out.columns), name

@@ -151,7 +151,9 @@ def test_pieces(docs, empty, held):
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    rows = pieces.decode(pieces.encode(docs, path, broadcast_words=held), path, out="back").collect()
+    both = pieces.encode(docs, path, broadcast_words=held, back="again")
+    rows = pieces.decode(both, path, out="back").collect()
+    assert all(r["again"] == r["back"] for r in rows)
     assert len(rows) == docs.count() and pieces.encode(empty, path, broadcast_words=held).count() == 0
     for r in rows:
         assert r["ids"] == model.encode(r["text"] or "")
