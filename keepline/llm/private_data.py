@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -39,8 +41,10 @@ MASKS = {
 }
 #: Characters of context that a masked form keeps.
 CONTEXT = 32
-#: Most documents that the fit reads, trees, their depth, and the share of masked forms that a threshold must let through.
-FIT_DOCS, TREES, DEPTH, RECALL = 2000, 12, 3, 0.95
+#: Trees, their depth, least bins of a feature, and the share of masked forms that a threshold must let through.
+TREES, DEPTH, LEAST_BINS, RECALL = 12, 3, 32, 0.95
+#: What a text has that may hold any proposal.
+MAY_HOLD = "[0-9]|@|[\\[(]at[\\])]"
 _BLOCK = 256
 
 
@@ -207,45 +211,56 @@ def _tree(node):
     return split.featureIndex(), split.threshold(), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def fit_spans(docs: DataFrame, text: str = "text", fit_docs: int = FIT_DOCS) -> SpanModel | None:
-    """Fit on the proposals in at most ``fit_docs`` documents (those of smallest text hash that may hold any).
+def labelled_proposals(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All proposals of every distinct text, plain ones also as their masked forms: half, kind, label, masked, f, n.
+
+    Equal ones are one row, ``n`` tells how many they are. ``half`` is the parity of the text's hash.
+    """
+    body = F.col(text)
+    rows = docs.where(body.rlike(MAY_HOLD)).select(body.alias("text"), F.xxhash64(body).alias("h"))
+    rows = rows.withColumn("base", base_spans(F.col("text")))
+
+    def listed(proposals: Column, is_masked: bool) -> Column:
+        return F.transform(proposals, lambda c: F.struct(
+            c["kind"].alias("kind"), c["plain"].cast("double").alias("label"), F.lit(is_masked).alias("masked"), c["features"].alias("f")))
+
+    written = F.flatten(F.transform(masked(F.col("text"), F.col("base")), lambda m: listed(
+        F.filter(candidates(m["text"], F.array(m["span"])), lambda c: c["plain"]), True)))
+    rows = rows.select("h", F.concat(listed(candidates(F.col("text"), F.col("base")), False), written).alias("all_"))
+    # Copies are left out after their proposals were found, so no text is shuffled.
+    rows = rows.dropDuplicates(["h"])
+    return rows.select(F.pmod("h", F.lit(2)).alias("half"), F.inline("all_")).groupBy(
+        "half", "kind", "label", "masked", "f").agg(F.count("*").cast("double").alias("n"))
+
+
+def fit_spans(docs: DataFrame, text: str = "text") -> SpanModel | None:
+    """Fit on the proposals in all documents, each distinct text once.
 
     Proposals that meet a plain form are positive, as are those that meet a masked one; all others are unlabelled: the
     trees tell the two apart, and no feature tells plain from masked. Half of the documents fit the trees, the other
     half sets the least score of each kind (``least_score``). None if there is nothing to tell apart.
+
+    Trees are grown on the distinct proposals with their numbers as weights. The trees look for their cut points in
+    the square of ``maxBins`` rows at least, so that many bins make them look in all rows.
     """
-    some = docs.where(F.col(text).rlike("[0-9]{3}|@|[\\[(]at[\\])]")).select(
-        F.xxhash64(text).alias("h")).distinct().orderBy("h").limit(fit_docs)
-    rows = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    rows = rows.join(F.broadcast(some), "h").dropDuplicates(["h"])
-    rows = rows.withColumn("base", base_spans(F.col("text")))
-    written = rows.select("h", F.explode(masked(F.col("text"), F.col("base"))).alias("m")).select(
-        "h", F.explode(candidates(F.col("m.text"), F.array("m.span"))).alias("c")).where("c.plain")
-    rows = rows.select("h", F.explode(candidates(F.col("text"), F.col("base"))).alias("c"), F.lit(0.0).alias("masked"))
-    rows = rows.union(written.select("h", "c", F.lit(1.0).alias("masked")))
-    n = len(_features(0, F.lit(""), F.lit(""), F.lit("")))
-    rows = rows.select(
-        "h", "masked", F.col("c.kind").alias("kind"), F.col("c.plain").cast("double").alias("label"), F.col("c.features").alias("f"),
-        *(F.col("c.features")[i].alias(f"f{i}") for i in range(n)))
-    rows = VectorAssembler(inputCols=[f"f{i}" for i in range(n)], outputCol="features").transform(rows)
-    rows = rows.coalesce(4).persist()
-    try:
-        fit = rows.where(F.pmod("h", F.lit(2)) == 0)
-        if fit.select("label").distinct().count() < 2:
-            return None
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3).fit(fit)
-        trees = [_tree(t._java_obj.rootNode() if hasattr(t, "_java_obj") else t.rootNode()) for t in model.trees]
-        spans = SpanModel(trees, list(model.treeWeights), dict.fromkeys(KINDS))
-        # Masked forms of each distinct held-out score (few, as leaves are few).
-        held = rows.where(F.pmod("h", F.lit(2)) == 1).groupBy("kind", spans.score(F.col("f")).alias("s")).agg(
-            F.sum("masked").alias("masked"))
-        by_kind: dict[str, list] = {}
-        for r in held.collect():
-            by_kind.setdefault(r["kind"], []).append((r["s"], r["masked"]))
-        spans.least |= {kind: least_score(scores) for kind, scores in by_kind.items()}
-        return spans
-    finally:
-        rows.unpersist()
+    found = labelled_proposals(docs, text)
+    found = materialize(found.sortWithinPartitions(*found.columns), "proposals")
+    fit = found.where("half = 0").select("label", "n", array_to_vector("f").alias("features"))
+    n_rows, n_labels = fit.agg(F.count("*"), F.countDistinct("label")).first()
+    if n_labels < 2:
+        return None
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3, weightCol="n",
+                          maxBins=max(LEAST_BINS, isqrt(n_rows) + 1)).fit(fit)
+    trees = [_tree(t._java_obj.rootNode() if hasattr(t, "_java_obj") else t.rootNode()) for t in model.trees]
+    spans = SpanModel(trees, list(model.treeWeights), dict.fromkeys(KINDS))
+    # Masked forms of each distinct held-out score (few, as leaves are few).
+    held = found.where("half = 1").groupBy("kind", spans.score(F.col("f")).alias("s")).agg(
+        F.sum(F.col("n") * F.col("masked").cast("double")).alias("masked"))
+    by_kind: dict[str, list] = {}
+    for r in held.collect():
+        by_kind.setdefault(r["kind"], []).append((r["s"], r["masked"]))
+    spans.least |= {kind: least_score(scores) for kind, scores in by_kind.items()}
+    return spans
 
 
 def _added(text: Column, base: Column, model: SpanModel) -> Column:
@@ -285,7 +300,7 @@ def private_spans(docs: DataFrame, model: SpanModel | None, text: str = "text")
     out = docs.withColumn("base", base_spans(body))
     if model is None:
         return out.withColumn("spans", F.col("base"))
-    may = body.rlike("[0-9]{3}|@|[\\[(]at[\\])]")
+    may = body.rlike(MAY_HOLD)
     none = F.array().cast(f"array<{SPAN}>")
     added = F.when(may, _added(body, F.col("base"), model).cast(f"array<{SPAN}>")).otherwise(none)
     out = out.withColumn("added_", added)

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from keepline.llm import private_data
+from keepline.session import materialize
 
 
 def test_obfuscated_forms_are_found(spark):
@@ -36,3 +37,27 @@ def test_least_score_follows_the_masked_forms():
     assert private_data.least_score([(2.0, 50), (1.0, 50), (0.0, 0)]) == 1.0
     assert private_data.least_score([(0.0, 4), (1.0, 6), (2.0, 90)]) == 1.0
     assert private_data.least_score([(2.0, 0)]) is None
+
+
+def test_every_document_is_fitted_on(spark):
+    """Addresses that stand only in texts of great hash, behind thousands of others, have their threshold too."""
+    calls = spark.range(2500).selectExpr("concat('call +1 (', id % 700 + 200, ') 555-', id + 1000, ' today, code ', id * 7919 + 100000) as text")
+    hosts = spark.range(1000).selectExpr("concat('the host 10.', id % 200, '.', id % 150, '.', id % 100, ' answers ', id) as text")
+    late = materialize(hosts.where(F.xxhash64("text") > 7_500_000_000_000_000_000), "late-hosts")
+    docs = materialize(calls.union(late).union(late), "late-hosts")
+    model = private_data.fit_spans(docs)
+    assert model.least["ip"] is not None and model.least["phone"] is not None
+    found = private_data.labelled_proposals(docs)
+    assert found.where("kind = 'ip' and not masked").agg(F.sum("n")).first()[0] == late.count()
+
+
+def test_stage_of_the_pipeline_fits_on_every_document(spark):
+    from corpus_pipeline import hide_private
+
+    calls = spark.range(2500).selectExpr("id as doc_id", "concat('call +1 (', id % 700 + 200, ') 555-', id + 1000, ' today, code ', id * 7919 + 100000) as text")
+    hosts = spark.range(3000, 6000).selectExpr("id as doc_id", "concat('the host ', replace(concat('10.', id % 200, '.1.', id % 100), '.', if(id % 6 = 0, '[.]', '.')), ' answers ', id) as text")
+    late = hosts.where(F.xxhash64("text") > 7_500_000_000_000_000_000)
+    docs = materialize(calls.union(late), "late-hosts")
+    out = [r["text"] for r in hide_private(spark, docs, "").collect() if r["text"].startswith("the host")]
+    assert docs.where("text like '%[.]%'").count() > 30
+    assert len(out) == docs.where("doc_id >= 3000").count() and np.mean(["[IP]" in t for t in out]) > 0.95
