@@ -227,3 +227,19 @@ def test_runs_are_seen_when_their_manifest_is_written(spark, design):
     runs.commit_run(spark, root, "a", "first", {}, worse, datetime(2024, 1, 2), n_folds=N)
     assert runs.read_runs(spark, root).count() == 2 and runs.read_run_oof(spark, root).count() == 360
     assert {r["mean"] for r in runs.ranked_runs(spark, root).collect()} == {0.0}
+
+
+def test_sums_of_many_fits_are_those_of_each():
+    """Loss, gradient and curvature of fits that share their products, at margins of any size, against plain sums."""
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(2500, 7)), (rng.random(2500) < 0.3).astype(float)
+    beta, weights = rng.normal(size=(9, 7)) * 20, rng.uniform(0.5, 2, (9, 2))
+    upper = np.triu_indices(7)
+    for n_fits in (3, 9):
+        for own, b, w in zip(logistic._sums(x, y, beta[:n_fits], weights[:n_fits]), beta, weights):
+            margin = x @ b
+            p, each = 1 / (1 + np.exp(-np.clip(margin, -500, 500))), np.where(y == 1, w[1], w[0])
+            curve = (x * (each * p * (1 - p))[:, None]).T @ x
+            np.testing.assert_allclose(own[0], (each * (np.logaddexp(0, margin) - y * margin)).sum(), rtol=1e-9)
+            np.testing.assert_allclose(own[1:8], x.T @ (each * (p - y)), atol=1e-7)
+            np.testing.assert_allclose(own[8:], curve[upper], atol=1e-7)
