@@ -243,3 +243,12 @@ def test_sums_of_many_fits_are_those_of_each():
             np.testing.assert_allclose(own[0], (each * (np.logaddexp(0, margin) - y * margin)).sum(), rtol=1e-9)
             np.testing.assert_allclose(own[1:8], x.T @ (each * (p - y)), atol=1e-7)
             np.testing.assert_allclose(own[8:], curve[upper], atol=1e-7)
+
+
+def test_tasks_are_sent_the_values_of_their_own_fits(spark):
+    """Each group of fits gets its own values only, and the sums are those of each fit."""
+    rows = spark.range(50).selectExpr("cast(id % 2 as int) as fold", "cast(1 as double) as label", "id as hash",
+                                      "array(cast(id as double)) as x")
+    given = {f: np.full(3, float(f)) for f in range(5)}
+    found = rounds.summed(rows, lambda batch, f, own: own * batch.x.sum(), list(given), 2, given=given)
+    assert {f: v.tolist() for f, v in found.items()} == {f: [1225.0 * f] * 3 for f in given}
