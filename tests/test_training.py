@@ -252,3 +252,19 @@ def test_tasks_are_sent_the_values_of_their_own_fits(spark):
     given = {f: np.full(3, float(f)) for f in range(5)}
     found = rounds.summed(rows, lambda batch, f, own: own * batch.x.sum(), list(given), 2, given=given)
     assert {f: v.tolist() for f, v in found.items()} == {f: [1225.0 * f] * 3 for f in given}
+
+
+def test_trees_add_the_values_of_the_leaves_that_rows_reach():
+    """Leaves at any level, with codes up to the largest, against a plain walk; a batch is decoded once for all fits."""
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 256, (500, 6)).astype(np.uint8)
+    slot, split = rng.integers(0, 6, (12, 31)).astype(np.int32), rng.integers(0, 256, (12, 31)).astype(np.int32)
+    for t in range(12):
+        for i in range(31):
+            if i >= 15 or rng.random() < 0.2 or (i and slot[t, (i - 1) // 2] < 0):
+                slot[t, i] = -1
+    trees = boosting.Trees(0.5, np.arange(6), slot, split, rng.normal(size=(12, 31)), np.zeros((12, 31)))
+    plain = sum(trees.value[t][boosting.walk(codes, slot[t], split[t])] for t in range(3, 12))
+    assert np.array_equal(trees.added(codes, 3), plain)
+    assert trees.added(codes[:0]).shape == (0,) and not trees.added(codes, 12).any()
+    assert not rounds.Batch(codes[:, 0], codes[:, 0], codes[:, 0], codes, {}).memo
