@@ -4,6 +4,7 @@ import random
 
 import public_tokenizers
 
+from keepline.llm import pieces
 from keepline.llm.pieces import SPACE, Vocabulary
 
 
@@ -31,3 +32,11 @@ def test_a_word_is_looked_at_once_however_often_it_occurs(monkeypatch):
     monkeypatch.setattr(v, "units", None)
     monkeypatch.setattr(v, "parts", None)
     assert v.chunks("one two\nthree") == ["one", "two", "\nthree"]
+
+
+def test_all_words_are_hashed_at_once_as_spark_does(spark):
+    words = ["", "a", "étoile", "東京", "😀 x", "word" * 30]
+    frame = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    want = [r["h"] for r in frame.selectExpr("i", "xxhash64(w) as h").orderBy("i").collect()]
+    assert pieces._hashes(words).view("int64").tolist() == want
+    assert pieces._hashes([*words, "\ud800"]).tolist()[:-1] == pieces._hashes(words).tolist()
