@@ -5,6 +5,9 @@ Every stage works on all rows that the one before kept. All but the last return
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from keepline.llm.near_dedup import near_duplicates
 from keepline.llm.pieces import encode
 from keepline.llm.private_data import fit_spans, private_spans, redact
 from keepline.llm.quality import fit_quality, score_quality
-from keepline.session import materialize
+from keepline.session import FEW_ROWS, materialize, setting
 
 #: The stage links documents from this similarity in percent on; op5 has its own bound.
 NEAR_PERCENT = 80
@@ -59,10 +62,23 @@ def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_pieces", F.size("ids").cast("long"))
 
 
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage with its result written at once, while texts go to Python a few rows at a time.
+
+    Workers live from stage to stage and keep what their largest batches took.
+    """
+    @wraps(stage)
+    def written(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with setting(spark, *FEW_ROWS):
+            return materialize(stage(spark, docs, sf_dir), stage.__name__)
+
+    return written
+
+
 STAGES = [
-    ("quality", keep_good),
-    ("near_duplicates", keep_first_copies),
-    ("decontamination", drop_leaks),
+    ("quality", in_small_batches(keep_good)),
+    ("near_duplicates", in_small_batches(keep_first_copies)),
+    ("decontamination", in_small_batches(drop_leaks)),
     ("private_data", hide_private),
     ("pieces", to_pieces),
 ]

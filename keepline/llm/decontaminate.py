@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import table, texts_of
+from .common import ROWS_AT_ONCE, each_text, table, texts_of
 
 WINDOW = 10
 SHINGLE = 3
@@ -52,7 +52,7 @@ def _shingle_counts(docs: DataFrame, text: str, shingles: set[bytes]) -> Counter
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, (wanted, first) = Counter(), given.value
         for batch in batches:
-            for t in texts_of(batch.column(0)):
+            for t in each_text(batch.column(0)):
                 words = words_of(t)
                 for i, w in enumerate(words):
                     if w in first:
@@ -123,14 +123,15 @@ def _finder(given):
     @F.arrow_udf(f"n_words: long, items: array<string>, hits: {HITS}")
     def find(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for column, hits, items in batches:
-            rows = []
-            for t, h, known in zip(texts_of(column), hits.to_pylist(), items.to_pylist()):
-                words = words_of(t)
-                spans, more = _find(words, given.value)
-                spans = _merged(spans + [(x["start"], x["stop"]) for x in h])
-                rows.append({"n_words": len(words), "items": sorted(more.union(known)),
-                             "hits": [{"start": a, "stop": b} for a, b in spans]})
-            yield pa.array(rows, _FOUND)
+            for at in range(0, len(column), ROWS_AT_ONCE):
+                rows, some = [], [x.slice(at, ROWS_AT_ONCE) for x in (column, hits, items)]
+                for t, h, known in zip(texts_of(some[0]), some[1].to_pylist(), some[2].to_pylist()):
+                    words = words_of(t)
+                    spans, more = _find(words, given.value)
+                    spans = _merged(spans + [(x["start"], x["stop"]) for x in h])
+                    rows.append({"n_words": len(words), "items": sorted(more.union(known)),
+                                 "hits": [{"start": a, "stop": b} for a, b in spans]})
+                yield pa.array(rows, _FOUND)
 
     return find
 

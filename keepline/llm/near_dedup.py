@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import LOWER, mix64, table, texts_of
+from .common import LOWER, mix64, slices, table, texts_of
 from .components import components
 
 SHINGLE = 5
@@ -139,7 +139,7 @@ def sharp_sketch(shingles: np.ndarray) -> np.ndarray:
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, cls, keys, bits) per row; ``cls`` is a 128-bit hash of the set."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, cls, keys, bits = [], [], [], []
             for t in texts_of(batch.column(1)):
                 s = shingle_set(t)
@@ -161,7 +161,7 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands:
 def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
     """(cls, shingles) of the wanted classes (cls, doc_id), made from whole texts again."""
     def to_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t) for t in texts_of(batch.column(0))]
             yield pa.record_batch(
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -218,8 +218,8 @@ def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     kind = "a binary, b binary"
 
     def sharpen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [sharp_sketch(np.array(x, np.int64).view(np.uint64)) for x in batch.column(1).to_pylist()]
+        for batch in slices(batches):
+            made = [sharp_sketch(x.values.to_numpy().view(np.uint64)) for x in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["cls", "sharp"])
 
     def compare(group: pa.Table) -> pa.Table:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts_of
+from .common import each_text, table
 
 #: Most rows of each kind (trusted positives, unlabelled) that the fit reads.
 SAMPLE_ROWS = 8000
@@ -151,7 +151,7 @@ def _features_of(rows: DataFrame, text: str) -> np.ndarray:
     @F.arrow_udf("array<double>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([text_features(t) for t in texts_of(batch)], pa.list_(pa.float64()))
+            yield pa.array([text_features(t) for t in each_text(batch)], pa.list_(pa.float64()))
 
     got = [r["f"] for r in rows.select(features(F.col(text)).alias("f")).toLocalIterator()]
     return np.array(sorted(got)).reshape(-1, N_FEATURES)
@@ -193,7 +193,7 @@ def score_quality(docs: DataFrame, scorer: Scorer | None, text: str = "text") ->
         @F.arrow_udf("double")
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for batch in batches:
-                x = np.array([text_features(t) for t in texts_of(batch)]).reshape(-1, N_FEATURES)
+                x = np.array([text_features(t) for t in each_text(batch)]).reshape(-1, N_FEATURES)
                 yield pa.array(scorer(x), pa.float64())
 
         scored = docs.withColumn("score", score(F.col(text)))
