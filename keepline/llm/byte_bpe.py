@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -13,7 +13,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_batches, table, texts_of
+from ..session import FEW_ROWS, materialize, setting
+from .common import byte_batches, each_text, table
 
 #: No pair: above every rank.
 NONE = np.int32(2**31 - 1)
@@ -23,7 +24,7 @@ WORDS_BYTES, CELLS = 1 << 21, 1 << 19
 RUN_CHARS, RUN_MATCHES = 1 << 20, 100_000
 #: Words kept encoded in a worker, and the longest of them in characters.
 CACHED_WORDS, CACHED_CHARS = 300_000, 64
-#: Ids that are decoded at once.
+#: Ids that are passed on or decoded at once.
 IDS_AT_ONCE = 1 << 20
 
 
@@ -227,7 +228,7 @@ def _learn(words: set[str], merges: Merges, known: dict[str, bytes]) -> None:
         first = last
 
 
-def _encoded(texts: list[str], splitter: regex.Pattern, path: str) -> Iterator[bytes]:
+def _encoded(texts: Iterable[str], splitter: regex.Pattern, path: str) -> Iterator[bytes]:
     """Ids of each text; a text beyond a run is split in parts of whole matches."""
     merges, known = _load(path)
 
@@ -250,13 +251,33 @@ def _encoded(texts: list[str], splitter: regex.Pattern, path: str) -> Iterator[b
             yield from ids_of([splitter.findall(t) for t in run])
 
 
+def _lists(done: Iterator[bytes]) -> Iterator[pa.Array]:
+    """The ids of texts as lists, as soon as there are about ``IDS_AT_ONCE``."""
+    rows: list[bytes] = []
+
+    def passed() -> pa.Array:
+        stops = np.cumsum([0, *(len(d) // 4 for d in rows)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+    size = 0
+    for d in done:
+        rows.append(d)
+        size += len(d) // 4
+        if size >= IDS_AT_ONCE:
+            yield passed()
+            rows, size = [], 0
+    if rows:
+        yield passed()
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add the token ids of each text by the ranks at ``path``, each match of ``pattern`` by itself.
 
     ``path`` is a file that every executor has: a base64 token and its rank per line. Special tokens are not known.
     Work is one pass over the rows without a shuffle: a batch's new distinct matches become padded matrices of like
     lengths, in which every row merges its leftmost pair of least rank in each round. Encoded words stay in the
-    worker up to a bounded number. Matches are first cut between bytes that no token holds side by side.
+    worker up to a bounded number. Matches are first cut between bytes that no token holds side by side. Of a batch some
+    texts are strings at once, and ids are passed on as soon as there are enough of them.
 
     Null and empty texts have no ids (an empty list). Repeated rows are encoded alike. Texts of any length are read in
     parts of whole matches; memory grows with the longest match. A column named ``out`` is replaced, other columns pass
@@ -266,9 +287,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         splitter = regex.compile(pattern)
         for batch in batches:
-            done = list(_encoded(texts_of(batch), splitter, path))
-            stops = np.cumsum([0, *(len(d) // 4 for d in done)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(done), np.int32)))
+            yield from _lists(_encoded(each_text(batch), splitter, path))
 
     return docs.withColumn(out, to_ids(F.col(text)))
 
@@ -281,22 +300,20 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
         nothing = len(tokens) - 1
         for batch in batches:
             some = batch.flatten()
-            ends = np.cumsum([0, *batch.value_lengths().fill_null(0).to_pylist()])
-            flat = (some.fill_null(nothing) if some.null_count else some).to_numpy(zero_copy_only=False)
-            flat = np.where((flat >= 0) & (flat < nothing), flat, nothing)
-            texts: list[bytes] = []
+            lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.append(0, np.cumsum(lengths, dtype=np.int64))
             first = 0
             while first < len(batch):
                 last = max(first + 1, int(np.searchsorted(ends, ends[first] + IDS_AT_ONCE, "right")) - 1)
                 last = min(last, len(batch))
-                held = tokens.take(pa.array(flat[ends[first]:ends[last]]))
+                flat = some.slice(ends[first], ends[last] - ends[first]).fill_null(nothing).to_numpy(zero_copy_only=False)
+                held = tokens.take(pa.array(np.where((flat >= 0) & (flat < nothing), flat, nothing)))
                 # The bytes of all taken tokens lie one behind the other.
                 stops = np.cumsum([0, *np.asarray(pc.binary_length(held))])
                 data = memoryview(held.buffers()[2] or b"") if len(held) else b""
                 at = stops[ends[first:last + 1] - ends[first]].tolist()
-                texts += [bytes(data[a:b]) for a, b in zip(at, at[1:])]
+                yield pa.array([bytes(data[a:b]) for a, b in zip(at, at[1:])], pa.binary())
                 first = last
-            yield pa.array(texts, pa.binary())
 
     return encoded.withColumn(out, to_bytes(F.col(ids)))
 
@@ -307,6 +324,9 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = decode(encode(docs, path, public_tokenizers.PATTERN), path)
-    return both.select(
+    digests = both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    # Only the digests are written, while texts and ids go to Python and back a few rows at a time.
+    with setting(spark, *FEW_ROWS):
+        return materialize(digests, "byte_bpe")
