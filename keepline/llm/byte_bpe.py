@@ -19,11 +19,11 @@ from .common import byte_batches, each_text, table
 #: No pair: above every rank.
 NONE = np.int32(2**31 - 1)
 #: Bytes of new words that are encoded at once, and cells of one matrix (a longer row stands alone).
-WORDS_BYTES, CELLS = 1 << 21, 1 << 19
+WORDS_BYTES, CELLS = 1 << 20, 1 << 18
 #: Characters of texts that are split at once, matches of one long text at a time.
-RUN_CHARS, RUN_MATCHES = 1 << 20, 100_000
+RUN_CHARS, RUN_MATCHES = 1 << 19, 100_000
 #: Words kept encoded in a worker, and the longest of them in characters.
-CACHED_WORDS, CACHED_CHARS = 300_000, 64
+CACHED_WORDS, CACHED_CHARS = 150_000, 64
 #: Ids that are passed on or decoded at once.
 IDS_AT_ONCE = 1 << 20
 
